@@ -58,11 +58,11 @@ def attribute(tag: Column, name: str) -> Column:
     return F.when(at > 0, attribute_value(F.try_element_at(written, at.cast("int"))))
 
 
-# An element without closing tag takes the rest of the text in one step: none after
-# it can be closed either, so the search does not have to start over at each tag.
+# A start tag or element without an end takes the rest of the text in one step: none
+# after it can be closed either, so the search does not start over at each tag.
 def _element_pattern(element: str) -> str:
     n = _name(element)
-    return rf"(?is)<{n}(?=[\s>])[^>]*+(?:(?<!/)>(?:(.*?)</{n}(?:>|\z)|.*\z))"
+    return rf"(?is)<{n}(?=[\s>])[^>]*+(?:\z|(?<!/)>(?:(.*?)</{n}(?:>|\z)|.*\z))"
 
 
 def elements(html: Column, element: str) -> Column:

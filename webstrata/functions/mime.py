@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # line and, being greedy, all earlier headers of the same name.
 _HEADER = r"(?is)\A.*\ncontent-type:([^\r\n]*)"
 _MIME = r'\A\s*"?\s*([A-Za-z0-9/+.\-]*)'
-_CHARSET = r"(?is)\A[^;]*;(?:.*;)?\s*charset[^=;]*=\s*([^;]*?)\s*(?:;|\z)"
+_CHARSET = r"(?is)\A[^;]*;(?:.*;)?\s*charset[^=;]*=([^;]*)"
 
 # One pass over the body up to the first thing that settles the matter: an XML
 # declaration as first tag, the end of the head, or the meta element. The last
@@ -19,7 +19,7 @@ _DECLARATION = (
     r"|</head"
     r'|<meta\s+http-equiv\s*=\s*"content-type[^"]*"\s*+(?:(?!content)|content\s*=\s*"[^"]*")'
 )
-_XML_ENCODING = r'(?is)<\?xml.*?encoding[^"]*"([^"]*)".*\?>\z'
+_XML_ENCODING = r'(?is)<\?xml(?>.*?encoding)[^"]*"([^"]*)".*\?>\z'
 _META_CONTENT = r'(?is)content\s*=\s*"([^"]*)"\z'
 
 
@@ -52,7 +52,8 @@ def clean_charset(label: Column) -> Column:
 def charset_label(value: Column) -> Column:
     """Charset parameter of a header value as written, null if there is none; the last one wins."""
     has_params = F.contains(value, F.lit(";"))
-    return F.when(has_params, F.nullif(F.regexp_extract(value, _CHARSET, 1), F.lit("")))
+    label = F.btrim(F.regexp_extract(value, _CHARSET, 1), F.lit(" \t\r\n"))
+    return F.when(has_params, F.nullif(label, F.lit("")))
 
 
 def charset_param(value: Column) -> Column:
