@@ -89,8 +89,8 @@ def _binary(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("binary")
 
 
-def encode_record(df: DataFrame, names: FieldNames = FieldNames()) -> DataFrame:
-    """Captures -> RAW (``uri``, ``doc``)."""
+def encode_record(df: DataFrame, names: FieldNames = FieldNames(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Captures -> RAW (``uri``, ``doc``), after any columns to ``keep``."""
     values = _values(df)
     lines = []
     for name, label in names.items():
@@ -98,7 +98,7 @@ def encode_record(df: DataFrame, names: FieldNames = FieldNames()) -> DataFrame:
         lines.append(F.coalesce(line, F.lit("")) if name in OPTIONAL_FIELDS else line)
     uri = F.col("uri") if "uri" in df.columns else F.col("url")
     doc = _record(F.concat(*lines), uri, _binary(df, "request"), _binary(df, "response"))
-    return df.select(uri.alias("uri"), doc.alias("doc"))
+    return df.select(*keep, uri.alias("uri"), doc.alias("doc"))
 
 
 def rewrite_record(

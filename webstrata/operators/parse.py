@@ -8,6 +8,8 @@ text pass over a body is the search for a declaration, for bodies it applies to.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -163,7 +165,13 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
         "content_type": M.sniffed_type(c("_meta"), c("_type")),
         "charset": F.coalesce(F.when(c("_xml"), M.xml_encoding(c("_found"))), M.clean_charset(c("_label"))),
     }
-    return df.select(*extra, *[columns.get(f.name, c(f.name)).alias(f.name) for f in CAPTURE.fields])
+    df = df.select(*extra, *[columns.get(f.name, c(f.name)).alias(f.name) for f in CAPTURE.fields])
+    # Counting the records also keeps filters on the result above this point. Moved
+    # below, a filter would repeat the expressions of all steps, over and over, to
+    # compute its column a second time. Unused columns are still pruned.
+    return df.observe(
+        f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"), F.count("error").alias("malformed")
+    )
 
 
 def field_lookup(captures: DataFrame, label: str, name: str = "value") -> DataFrame:

@@ -51,8 +51,9 @@ def read_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
-def page_fields(page_id: Column = F.col("page_id")) -> dict[str, Column]:
+def page_fields() -> dict[str, Column]:
     """Crawl metadata of a page by its number."""
+    page_id = F.col("page_id")
     chain = page_id % 10
     return {
         "is_seed": chain == 0,
@@ -63,19 +64,21 @@ def page_fields(page_id: Column = F.col("page_id")) -> dict[str, Column]:
     }
 
 
-def content_type_header(page_id: Column = F.col("page_id")) -> Column:
+def content_type_header() -> Column:
+    page_id = F.col("page_id")
     out = F.lit(None).cast("string")
     for k, v in CONTENT_TYPES.items():
         out = F.when(page_id % 5 == k, F.lit(v)).otherwise(out)
     return out
 
 
-def body_text(page_id: Column = F.col("page_id"), html: Column = F.col("html")) -> Column:
+def body_text() -> Column:
+    page_id = F.col("page_id")
     prefix = F.when(page_id % 5 == 3, F.lit(META)).when(page_id % 5 == 4, F.lit(XML)).otherwise(F.lit(""))
-    return F.concat(prefix, html)
+    return F.concat(prefix, F.col("html"))
 
 
-def crawl(pages: DataFrame, lineage: bool = False, html: Column | None = None) -> DataFrame:
+def crawl(pages: DataFrame, lineage: bool = False) -> DataFrame:
     """Captures ready to be written: ``page_id``, field columns, request, response.
 
     With ``lineage`` referrer and seed URL are looked up by page number; the joins
@@ -90,13 +93,12 @@ def crawl(pages: DataFrame, lineage: bool = False, html: Column | None = None) -
         F.lit("Connection: close\r\n\r\n"),
     )
     request = F.concat(F.lit("GET / HTTP/1.0\r\nHost: "), host(F.col("url")), F.lit("\r\n\r\n"))
-    text = body_text() if html is None else html
     df = pages.select("*", *[v.alias(k) for k, v in fields.items()])
     columns = [
         F.col("page_id"), F.col("url").alias("uri"), F.col("url"), F.col("ip"), F.col("crawl_time"),
         F.col("is_seed"), F.col("path_from_seed"), F.col("status"),
         F.encode(request, "UTF-8").alias("request"),
-        F.encode(F.concat(head, text), "UTF-8").alias("response"),
+        F.encode(F.concat(head, body_text()), "UTF-8").alias("response"),
     ]
     if not lineage:
         return df.select(*columns)
