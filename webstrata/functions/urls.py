@@ -21,10 +21,13 @@ _DEFAULT_PAGE = rf"(?i)/(?:{'|'.join(DEFAULT_PAGES)})\.(?:{'|'.join(DEFAULT_PAGE
 # What makes a reference no URI: characters that may not stand there, incomplete
 # percent escapes, and square brackets other than those of an IP literal as host.
 _NOT_URI = r"[\x00-\x20\x7f\"<>\\^`{|}]|%(?![0-9A-Fa-f]{2})"
-_BAD_BRACKET = r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://(?:[^/?#\[\]]*@)?(?:\[[0-9A-Fa-f:.]+\])?)?[^?#\[\]]*[\[\]]"
+_BAD_BRACKET = (
+    r"\A(?:[A-Za-z][A-Za-z0-9+.\-]*:)?+(?://(?:[^/?#\[\]@]*@)?+(?:\[[0-9A-Fa-f:.]+\])?+)?+[^?#\[\]]*+[\[\]]"
+)
 
 _HOST = r"\A[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^:/?#]*)"
-_SPLIT_AT_PATH = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*)?)(/[^?#]*)(.*)\z"
+_SPLIT_AT_PATH = r"(?s)\A([A-Za-z][A-Za-z0-9+.\-]*:(?://[^/?#]*+)?+)(/[^?#]*)(.*)\z"
+_CANONICAL_PARTS = r"\A([^/?#]*/[^/?#]*/)([^?#]*)(\?[^#]*)?"
 _HAS_SCHEME = r"\A[A-Za-z][A-Za-z0-9+.\-]*:"
 
 
@@ -101,16 +104,7 @@ def normalize_url(url: Column) -> Column:
     return F.when(odd, F.concat(prefix, _squeeze_path(path), rest)).otherwise(url)
 
 
-def canonical_url(url: Column) -> Column:
-    """One spelling for URLs that name the same page; null if there are not two
-    slashes before any query or fragment.
-
-    The fragment goes, ``www.`` is put in front, a default page name without query
-    goes, a last segment without dot gets a closing slash, the query stays."""
-    shape = r"\A([^/?#]*/[^/?#]*/)([^?#]*)(\?[^#]*)?"
-    prefix = F.regexp_extract(url, shape, 1)
-    path = F.regexp_extract(url, shape, 2)
-    query = F.regexp_extract(url, shape, 3)
+def _canonical(prefix: Column, path: Column, query: Column) -> Column:
     directory = F.regexp_replace(path, _DEFAULT_PAGE, "/")
     no_slash = (path != "") & (F.instr(path, "/") == 0)
     settled = (
@@ -118,10 +112,30 @@ def canonical_url(url: Column) -> Column:
         .when(no_slash | path.rlike(r"/[^/.]+\z"), F.concat(path, F.lit("/")))
         .otherwise(path)
     )
-    www = F.when(F.startswith(F.lower(path), F.lit("www.")), F.lit("")).otherwise(F.lit("www."))
+    www = F.when(F.startswith(F.lower(F.left(path, F.lit(4))), F.lit("www.")), F.lit("")).otherwise(F.lit("www."))
     return F.when(prefix != "", F.concat(prefix, www, settled, query))
 
 
+def canonical_url(url: Column) -> Column:
+    """One spelling for URLs that name the same page; null if there are not two
+    slashes before any query or fragment.
+
+    The fragment goes, ``www.`` is put in front, a default page name without query
+    goes, a last segment without dot gets a closing slash, the query stays. ``url``
+    should be a plain column: it is used several times."""
+    return _canonical(*[F.regexp_extract(url, _CANONICAL_PARTS, i) for i in (1, 2, 3)])
+
+
+def with_canonical_url(df: DataFrame, url: str, to: str = "canonical_url") -> DataFrame:
+    """Add the canonical form of the normalised URL, step by step so that nothing is
+    computed twice."""
+    keep = [x for x in df.columns if x != to]
+    df = df.select("*", normalize_url(F.col(url)).alias("_normal"))
+    parts = [F.regexp_extract("_normal", _CANONICAL_PARTS, i).alias(f"_part{i}") for i in (1, 2, 3)]
+    df = df.select("*", *parts)
+    return df.select(*keep, _canonical(F.col("_part1"), F.col("_part2"), F.col("_part3")).alias(to))
+
+
 def url_fingerprint(url: Column) -> Column:
     """Signed 64-bit key of the canonical URL, 0 if there is none.
 

@@ -15,10 +15,10 @@ def dedupe_captures(captures: DataFrame, url: str = "url") -> DataFrame:
     same time the one with the smaller URI is kept. The row number limit runs before
     the shuffle too, so each task sends on at most one capture per page and a page
     that was fetched very often does not pile up in one task."""
-    page = F.coalesce(U.canonical_url(U.normalize_url(F.col(url))), F.col(url), F.col("uri"))
     newest = Window.partitionBy("canonical_url").orderBy(F.col("crawl_time").desc_nulls_last(), "uri")
     return (
-        captures.withColumn("canonical_url", page)
+        U.with_canonical_url(captures, url)
+        .withColumn("canonical_url", F.coalesce("canonical_url", url, "uri"))
         .withColumn("_rank", F.row_number().over(newest))
         .where("_rank = 1")
         .drop("_rank")
