@@ -13,9 +13,9 @@ DEFAULT_PAGE_TYPES = (
     "dhtml", "shtml", "xhtml",
 )
 
-# Schemes whose URLs have a path that can carry a file extension.
-PATH_SCHEMES = ("http", "https", "ftp", "file")
-
+# Schemes whose URLs have a path that can carry a file extension. The host is taken
+# as a whole, so that its dots do not count.
+_EXTENSION = r"(?i)\A(?:https?|ftp|file):(?://[^/?#]*+)?+[^?#]*\.([^./?#]+)(?=[?#]|\z)"
 _DEFAULT_PAGE = rf"(?i)/(?:{'|'.join(DEFAULT_PAGES)})\.(?:{'|'.join(DEFAULT_PAGE_TYPES)})$"
 
 # What makes a reference no URI: characters that may not stand there, incomplete
@@ -33,18 +33,12 @@ _HAS_SCHEME = r"\A[A-Za-z][A-Za-z0-9+.\-]*:"
 
 def scheme(url: Column) -> Column:
     """Lower-case text before the first colon."""
-    return F.when(F.instr(url, ":") > 1, F.lower(F.substring_index(url, ":", 1)))
+    return F.nullif(F.lower(F.regexp_extract(url, r"\A([^:]+):", 1)), F.lit(""))
 
 
 def extension(url: Column) -> Column:
     """Lower-case suffix after the last dot of the last path segment."""
-    plain = F.substring_index(F.substring_index(url, "#", 1), "?", 1)
-    rest = F.substring(plain, F.instr(plain, ":") + 1, F.length(plain))
-    # After "//" comes a host; without a further slash there is no path.
-    path = F.when(F.startswith(rest, F.lit("//")) & ~F.contains(F.substring(rest, 3, 1 << 30), F.lit("/")), F.lit(""))
-    segment = F.substring_index(F.coalesce(path, rest), "/", -1)
-    suffix = F.when(F.contains(segment, F.lit(".")), F.lower(F.substring_index(segment, ".", -1)))
-    return F.when(scheme(url).isin(*PATH_SCHEMES) & (suffix != ""), suffix)
+    return F.nullif(F.lower(F.regexp_extract(url, _EXTENSION, 1)), F.lit(""))
 
 
 def host(url: Column) -> Column:

@@ -14,7 +14,7 @@ from ..schema import CRLF, MAGIC, OPTIONAL_FIELDS, TIMESTAMP_FORMAT, FieldNames
 
 
 def crawl_time_14(ts: Column) -> Column:
-    """A timestamp as 14 digits. TIMESTAMP_NTZ is taken as UTC already."""
+    """A timestamp as 14 digits; one without time zone is taken as it is."""
     return F.date_format(ts, TIMESTAMP_FORMAT)
 
 
@@ -71,11 +71,11 @@ def rename_fields(df: DataFrame, old: FieldNames, new: FieldNames) -> DataFrame:
     )
 
 
-def _record(field_block: Column, uri: Column, request: Column, response: Column) -> Column:
+def _record(field_block: Column, request: Column, response: Column) -> Column:
     header = F.concat(F.lit(MAGIC.decode("ascii")), field_block, F.lit(CRLF))
     return F.concat(
         F.encode(header, "UTF-8"),
-        F.coalesce(has_request(uri, request), B.empty()),
+        F.coalesce(request, B.empty()),
         F.coalesce(response, B.empty()),
     )
 
@@ -97,7 +97,7 @@ def encode_record(df: DataFrame, names: FieldNames = FieldNames(), keep: tuple[s
         line = F.concat(F.lit(f"{label}: "), values[name], F.lit(CRLF))
         lines.append(F.coalesce(line, F.lit("")) if name in OPTIONAL_FIELDS else line)
     uri = F.col("uri") if "uri" in df.columns else F.col("url")
-    doc = _record(F.concat(*lines), uri, _binary(df, "request"), _binary(df, "response"))
+    doc = _record(F.concat(*lines), has_request(uri, _binary(df, "request")), _binary(df, "response"))
     return df.select(*keep, uri.alias("uri"), doc.alias("doc"))
 
 
@@ -137,7 +137,7 @@ def rewrite_record(
         ),
         "",
     )
-    doc = _record(block, F.col("uri"), F.col("request"), F.col("response"))
+    doc = _record(block, F.col("request"), F.col("response"))
     return staged.select("uri", doc.alias("doc"))
 
 

@@ -53,26 +53,28 @@ def crawl_timestamp(text: Column) -> Column:
     return F.when(text.rlike(digits), F.regexp_replace(text, digits, "$1-$2-$3 $4:$5:$6")).try_cast("timestamp_ntz")
 
 
+def is_record(doc: Column) -> Column:
+    """Whether a document starts with the first line of this format."""
+    return F.coalesce(F.startswith(doc, F.lit(MAGIC)), F.lit(False))
+
+
 def record_error(doc: Column) -> Column:
     """Why a document is not a record of this format; null for a good one."""
-    return F.when(doc.isNull() | (F.octet_length(doc) < len(MAGIC)), F.lit(TRUNCATED)).when(
-        ~F.startswith(doc, F.lit(MAGIC)), F.lit(BAD_HEADER)
-    )
+    reason = F.when(F.octet_length(doc) >= len(MAGIC), F.lit(BAD_HEADER)).otherwise(F.lit(TRUNCATED))
+    return F.when(~is_record(doc), reason)
 
 
 def valid_records(raw: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
     """Treat records with a bad envelope: keep with ``error``, drop, or fail."""
     mode = mode.upper()
-    checked = raw.withColumn("error", record_error(F.col("doc")))
     if mode == "PERMISSIVE":
-        return checked
+        return raw.withColumn("error", record_error(F.col("doc")))
     if mode == "DROPMALFORMED":
-        return checked.where(F.col("error").isNull())
+        return raw.where(is_record(F.col("doc"))).withColumn("error", F.lit(None).cast("string"))
     if mode == "FAILFAST":
-        message = F.concat(F.col("error"), F.lit(": "), F.coalesce(F.col("uri"), F.lit("?")))
-        return checked.withColumn(
-            "error", F.when(F.col("error").isNotNull(), F.raise_error(message).cast("string"))
-        )
+        message = F.concat(record_error(F.col("doc")), F.lit(": "), F.coalesce(F.col("uri"), F.lit("?")))
+        failed = F.when(~is_record(F.col("doc")), F.raise_error(message).cast("string"))
+        return raw.withColumn("error", failed)
     raise ValueError(f"unknown mode {mode!r}: PERMISSIVE, DROPMALFORMED or FAILFAST")
 
 
@@ -84,11 +86,8 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
     c = F.col
 
     df = valid_records(raw, mode)
-    if mode.upper() == "FAILFAST":
-        # The check has to be part of the data path or pruning would remove it.
-        good = c("error").isNull()
-    else:
-        good = record_error(c("doc")).isNull()
+    # When failing, the check has to be part of the data path or it would be pruned.
+    good = c("error").isNull() if mode.upper() == "FAILFAST" else is_record(c("doc"))
     # From here on the document starts with the LF that ends the first line, so
     # that every field line has a line end in front of it.
     df = df.select(*extra, "uri", "error", F.when(good, B.after(c("doc"), len(MAGIC) - 1)).alias("_rest"))
@@ -169,9 +168,7 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
     # Counting the records also keeps filters on the result above this point. Moved
     # below, a filter would repeat the expressions of all steps, over and over, to
     # compute its column a second time. Unused columns are still pruned.
-    return df.observe(
-        f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"), F.count("error").alias("malformed")
-    )
+    return df.observe(f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
 
 
 def field_lookup(captures: DataFrame, label: str, name: str = "value") -> DataFrame:

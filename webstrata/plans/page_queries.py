@@ -85,7 +85,7 @@ def scan_table(spark, sf_dir):
 def scan_single_docs(spark, sf_dir):
     path = fresh_dir(spark, "documents")
     framed = assemble.frame_record(raw_crawl(spark, sf_dir)).select(c("doc").cast("string").alias("value"))
-    framed.write.option("maxRecordsPerFile", 1).text(path)
+    framed.repartition(spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1).text(path)
     docs = documents.scan_documents(spark, path)
     parsed = parse.parse_records(docs)
     return parsed.select("url", "status", "charset", F.octet_length("body").alias("body_bytes"), _digest("body").alias("body_md5"))
