@@ -1,5 +1,6 @@
 """Web-crawl archives on Spark: capture tables, parsing, links, URLs, reports."""
 
+from .functions.sql import register_functions
 from .functions.urls import canonical_url, normalize_url, url_fingerprint
 from .operators.assemble import encode_record, frame_record, named_fields, rename_fields, rewrite_record, unframe_record
 from .operators.dedupe import dedupe_captures

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SEED_WALK_STEPS
-from ..sources.scratch import ensure_checkpoint_dir
+from ..sources.scratch import materialize
 
 # A key is hot from this many rows on. There can be no more than rows / HOT_ROWS hot
 # keys, which bounds what ``lookup`` broadcasts.
@@ -70,7 +70,7 @@ def _seeds_above(nodes: DataFrame, max_distance: int, hot_rows: int) -> DataFram
 
     ``nodes``: ``node``, ``next`` and ``is_seed``, one row per node. After round k a
     node knows its nearest seed if that is less than 2^k steps away, else the node
-    2^k steps up. Each round is one join whose result is checkpointed, so neither the
+    2^k steps up. Each round is one join whose result is written out, so neither the
     plan nor the work to redo after a lost executor grows from round to round."""
     state = nodes.select(
         "node",
@@ -80,7 +80,7 @@ def _seeds_above(nodes: DataFrame, max_distance: int, hot_rows: int) -> DataFram
     )
     jump = 1
     while jump <= max_distance:
-        state = state.checkpoint()
+        state = materialize(state, "seeds")
         if state.where(F.col("next").isNotNull()).isEmpty():
             break
         above = state.select(
@@ -109,7 +109,6 @@ def resolve_seed(
     the first seed. Only captures that are referrers take part in the doubling; the
     mass of leaves looks its referrer's seed up once, at the end. ``captures`` is
     read twice."""
-    ensure_checkpoint_dir(captures.sparkSession)
     known = _latest(captures, ["is_seed", "via"])
     referrers = captures.select(F.col("via").alias("uri")).where(F.col("uri").isNotNull()).distinct()
     nodes = known.join(referrers, "uri", "left_semi").select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.links import hosted_links
-from ..sources.scratch import ensure_checkpoint_dir
+from ..sources.scratch import materialize
 
 
 def count_charsets(captures: DataFrame) -> DataFrame:
@@ -46,20 +46,16 @@ def running_bytes(
 
     Each shard is cut along its order into blocks of about equal rows, so a shard of
     any size is spread over many tasks: the sum inside a block plus the total of the
-    blocks before it. The block numbers are checkpointed, because both sums have to
+    blocks before it. The block numbers are written out, because both sums have to
     see the same ones. Records that are equal in ``order`` are told apart by a row id
     and may lie in different blocks; which of them comes first is open."""
     spark = raw.sparkSession
-    ensure_checkpoint_dir(spark)
     n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(dict.fromkeys([shard, *order, *keep]))
     size = (F.octet_length("doc") + 4).cast("bigint")
     narrow = raw.select(*names, size.alias("bytes"), F.monotonically_increasing_id().alias("_row"))
-    blocked = (
-        narrow.repartitionByRange(n, shard, *order, "_row")
-        .withColumn("_block", F.spark_partition_id())
-        .checkpoint()
-    )
+    ranges = narrow.repartitionByRange(n, shard, *order, "_row")
+    blocked = materialize(ranges.withColumn("_block", F.spark_partition_id()), "blocks")
     sums = blocked.groupBy(shard, "_block").agg(F.sum("bytes").alias("_sum"))
     before = Window.partitionBy(shard).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(

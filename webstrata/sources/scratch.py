@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -28,11 +28,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A folder name in the shared folder that nothing has been written to."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from there.
+
+    The plan starts anew at the written table, which outlives executors; unlike a
+    checkpoint of the rows, the result is computed only once."""
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
