@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from webstrata import encode_record, parse_records, rewrite_record, valid_records
 from webstrata.operators.assemble import named_fields, rename_fields
-from webstrata.schema import BAD_HEADER, CAPTURE, MAGIC, TRUNCATED, FieldNames
+from webstrata.schema import BAD_HEADER, CAPTURE, MAGIC, TRUNCATED, VERSION, FieldNames
 
 SAMPLE = (
     b"URL: http://news.example.com/.element/ssi/MAIN.html\r\n"
@@ -28,7 +28,7 @@ def http(head: bytes, body: bytes = b"", fields: bytes = b"URL: http://a.com/x.h
 DOCS = {
     "sample": MAGIC + SAMPLE,
     "old_version": OLD + SAMPLE,
-    "short": b"HDFSWr",
+    "short": MAGIC[:6],
     "null": None,
     "dns": MAGIC + b"URL: dns:www.example.com\r\n\r\n20070123\nwww.example.com. 300 IN A 1.2.3.4\n",
     "https": http(b"HTTP/1.1 404 Not Found\r\nContent-Type: text/plain; charset=utf8\r\n\r\n", b"x", b"URL: https://a.com/b\r\n"),
@@ -75,7 +75,7 @@ def test_sample(parsed):
         assert (r.status, r.content_type, r.charset, r.scheme, r.extension) == (200, "text/html", "ISO-8859-1", "http", "html")
         assert (r.is_seed, r.path_from_seed, r.via) == (False, "X", "http://news.example.com/")
         assert r.crawl_time == dt.datetime(2007, 1, 23, 9, 39, 16)
-        assert r.version == "HDFSWriter/0.3" and r.error is None
+        assert r.version == VERSION and r.error is None
         assert r.seed_url is None and len(r.fields) == 6
         assert bytes(r.body).startswith(b"<!DOCTYPE") and bytes(r.body).endswith(b"</head>")
         assert bytes(r.request).startswith(b"GET /.element") and bytes(r.request).endswith(b"\n")

@@ -82,7 +82,7 @@ def test_several_directories_and_unfinished_files(spark, raw, tmp_path):
 def test_glob_of_finished_files(spark, tmp_path):
     names = [
         "a", "n", "en", "pen", "open", ".open2", "a.open", "aopen", "b.opens", "x.invalid", "invalid", "xinvalid", "lid",
-        "d", "part-00000", "a.open.gz", "a.invalid.open", "z.ope", "IAH-20070111024623-00000-host", "IAH-1-0-host.open",
+        "d", "part-00000", "a.open.gz", "a.invalid.open", "z.ope", "crawl-20240111024623-00000-host", "crawl-1-0-host.open",
     ]
     for n in names:
         (tmp_path / n).write_text("x")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bytesview as B
-from ..schema import CRLF, MAGIC, OPTIONAL_FIELDS, TIMESTAMP_FORMAT, FieldNames
+from ..schema import CRLF, OPTIONAL_FIELDS, TIMESTAMP_FORMAT, VERSION, FieldNames
 
 
 def crawl_time_14(ts: Column) -> Column:
@@ -72,7 +72,7 @@ def rename_fields(df: DataFrame, old: FieldNames, new: FieldNames) -> DataFrame:
 
 
 def _record(field_block: Column, request: Column, response: Column) -> Column:
-    header = F.concat(F.lit(MAGIC.decode("ascii")), field_block, F.lit(CRLF))
+    header = F.concat(F.lit(VERSION + CRLF), field_block, F.lit(CRLF))
     return F.concat(
         F.encode(header, "UTF-8"),
         F.coalesce(request, B.empty()),

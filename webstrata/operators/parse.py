@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import bytesview as B
 from ..functions import mime as M
 from ..functions import urls as U
-from ..schema import BAD_HEADER, CAPTURE, MAGIC, TRUNCATED, FieldNames
+from ..schema import BAD_HEADER, CAPTURE, MAGIC, TRUNCATED, VERSION, FieldNames
 
 
 def _field(block: Column, label: str) -> Column:
@@ -26,27 +26,30 @@ def _field(block: Column, label: str) -> Column:
     return F.when(F.contains(block, F.lit(mark)), F.ltrim(value, F.lit(" \t")))
 
 
-def _fields(block: Column) -> Column:
-    """All fields; the last of equal labels wins."""
+def _entries(block: Column) -> Column:
+    """Field lines as (label, line number, value), in that order."""
     lines = F.filter(F.split(block, "\n"), lambda x: x != "")
-    labels = F.transform(lines, lambda x: F.substring_index(x, ":", 1))
-    last = F.filter(
-        lines,
-        lambda x, i: ~F.array_contains(
-            F.slice(labels, i + 2, F.size(labels)), F.substring_index(x, ":", 1)
-        ),
-    )
-    return F.map_from_entries(
+    return F.array_sort(
         F.transform(
-            last,
-            lambda x: F.struct(
-                F.substring_index(x, ":", 1).alias("key"),
+            lines,
+            lambda x, i: F.struct(
+                F.substring_index(x, ":", 1).alias("label"),
+                i.alias("line"),
                 F.ltrim(F.substring(x, F.instr(x, ":") + 1, F.length(x)), F.lit(" \t")).alias("value"),
             ),
         )
     )
 
 
+def _fields(entries: Column) -> Column:
+    """Map of the entries; of equal labels the last one in line counts."""
+    last = F.filter(
+        entries,
+        lambda e, i: ~F.coalesce(F.try_element_at(entries, i + 2)["label"] == e["label"], F.lit(False)),
+    )
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["label"], e["value"])))
+
+
 def crawl_timestamp(text: Column) -> Column:
     """14 digits as TIMESTAMP_NTZ, null for anything else."""
     digits = r"\A(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})\z"
@@ -102,11 +105,12 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
     )
     df = df.select("*", F.length(F.regexp_extract("_text", r"\A\n(?:[^:\n]*+:[^\n]*+\n)*+", 0)).alias("_lines"))
     odd_line = F.substring_index(F.substring(c("_text"), c("_lines") + 1, F.length("_text")), "\n", 1)
-    block = F.replace(B.utf8(B.first(c("_rest"), c("_lines"))), F.lit("\r\n"), F.lit("\n"))
+    block = F.concat(B.utf8(B.first(c("_rest"), c("_lines"))), F.lit("\n"))
+    block = F.replace(block, F.lit("\r\n"), F.lit("\n"))
     df = df.select(
         *extra, "uri", "error", "_rest",
         # Lines without a value go, so that they do not hide an earlier value.
-        F.regexp_replace(F.concat(block, F.lit("\n")), r"\n[^:\n]*+:[ \t]*+(?=\n)", "").alias("_block"),
+        F.regexp_replace(block, r"\n[^:\n]*+:[ \t]*+(?=\n)", "").alias("_block"),
         F.when(c("_lines") > c("_len"), c("_len") + c("_gap"))
         .otherwise(c("_lines") + F.length(odd_line) + 1)
         .alias("_end"),
@@ -149,16 +153,18 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
     )
     df = df.select("*", F.coalesce(M.charset_label(c("_meta")), M.charset_label(c("_ct"))).alias("_label"))
 
+    df = df.select("*", _entries(c("_block")).alias("_entries"))
+
     status = F.regexp_extract("_head", r"\A\S*\s+(\d+)", 1).try_cast("int")
     columns = {
-        "version": F.when(c("_block").isNotNull(), F.lit(MAGIC.decode("ascii").strip())),
+        "version": F.when(c("_block").isNotNull(), F.lit(VERSION)),
         "ip": _field(c("_block"), names.ip),
         "crawl_time": crawl_timestamp(_field(c("_block"), names.crawl_time)),
         "is_seed": _field(c("_block"), names.is_seed).try_cast("boolean"),
         "path_from_seed": _field(c("_block"), names.path_from_seed),
         "via": _field(c("_block"), names.via),
         "seed_url": _field(c("_block"), names.seed_url),
-        "fields": _fields(c("_block")),
+        "fields": _fields(c("_entries")),
         "extension": U.extension(c("url")),
         "status": F.when(c("_block").isNotNull(), F.coalesce(status, F.lit(0))),
         "content_type": M.sniffed_type(c("_meta"), c("_type")),

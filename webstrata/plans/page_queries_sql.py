@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..functions.urls import DEFAULT_PAGE_TYPES, DEFAULT_PAGES
 from ..operators.filters import MEDIA_EXTENSIONS
-from ..schema import BAD_HEADER, TRUNCATED, UNWRITTEN_SIZE
+from ..schema import BAD_HEADER, TRUNCATED, UNWRITTEN_SIZE, VERSION
 from .page_crawl import META, ODD_LINKS, XML
 from .page_queries import LABELS
 
@@ -50,7 +50,7 @@ parts AS (
            || 'Connection: close' || {_CRLF} || {_CRLF} || body AS response
   FROM linked),
 cap AS (
-  SELECT *, 'HDFSWriter/0.3' || {_CRLF} AS magic,
+  SELECT *, '{VERSION}' || {_CRLF} AS magic,
          'URL: ' || url || {_CRLF} || 'Ip-Address: ' || ip || {_CRLF} || 'Crawl-Time: ' || digits || {_CRLF}
            || 'Is-Seed: ' || CASE WHEN is_seed THEN 'true' ELSE 'false' END || {_CRLF} AS fixed,
          CASE WHEN path <> '' THEN 'Path-From-Seed: ' || path || {_CRLF} ELSE '' END AS path_line
@@ -68,7 +68,7 @@ def _from_crawl(select: str) -> str:
     return f"WITH {_CAP}\n{select}"
 
 
-_PARSED_COLUMNS = """url AS uri, 'HDFSWriter/0.3' AS version, url, ip, crawl_time, is_seed, nullif(path, '') AS path_from_seed,
+_PARSED_COLUMNS = f"""url AS uri, '{VERSION}' AS version, url, ip, crawl_time, is_seed, nullif(path, '') AS path_from_seed,
        via, nullif(seed_url, '') AS seed_url, scheme, extension, md5(request) AS request_md5, md5(response) AS response_md5,
        md5(body) AS body_md5, status, content_type, charset, CAST(NULL AS VARCHAR) AS error,
        CAST(4 + (CASE WHEN is_seed THEN 0 ELSE 3 END) AS INTEGER) AS n_fields"""
@@ -263,7 +263,7 @@ FROM (SELECT {_ODD_URL} AS uri, body, response FROM cap)"""
     ),
     "parse_record": _from_crawl(f"SELECT {_PARSED_COLUMNS} FROM cap"),
     "parse_version": _from_crawl(
-        f"SELECT page_id, CASE WHEN page_id % 7 IN (1, 2) THEN NULL ELSE 'HDFSWriter/0.3' END AS version,"
+        f"SELECT page_id, CASE WHEN page_id % 7 IN (1, 2) THEN NULL ELSE '{VERSION}' END AS version,"
         f" CASE page_id % 7 WHEN 1 THEN '{TRUNCATED}' WHEN 2 THEN '{BAD_HEADER}' END AS error FROM cap"
     ),
     "parse_fields": _from_crawl(

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 # Fixed values of the archive record format. They have to be byte-equal to what
 # existing archives contain, so they are spelled out here and nowhere else.
-MAGIC = b"HDFSWriter/0.3\r\n"
+VERSION = "HDFSWriter/0.3"
+MAGIC = f"{VERSION}\r\n".encode("ascii")
 CRLF = "\r\n"
 DEFAULT_CHARSET = "ISO-8859-1"
 TIMESTAMP_FORMAT = "yyyyMMddHHmmss"
