@@ -48,7 +48,7 @@ def read(doc):
 
 def test_random_documents(spark):
     rng = random.Random(7)
-    docs = sorted({random_document(rng) for _ in range(6000)})
+    docs = sorted({random_document(rng) for _ in range(9000)})
     df = spark.createDataFrame([(str(i), bytearray(d)) for i, d in enumerate(docs)], "uri string, doc binary")
     seen = 0
     for r in parse_records(df).collect():
