@@ -84,16 +84,16 @@ def _multi_byte_decoder():
     return F.pandas_udf(decode_batch, "string")
 
 
-def decode(binary: Column, charset: Column) -> Column:
-    """Text of the bytes; a null or unknown charset counts as ISO-8859-1.
+def decode(binary: Column, name: Column) -> Column:
+    """Text of the bytes by a ``label``; a null or unknown one counts as ISO-8859-1.
 
-    Bytes that are wrong in their charset become U+FFFD."""
-    name = label(charset)
+    Bytes that are wrong in their charset become U+FFFD. Both should be plain columns:
+    they are used several times."""
     latin1 = F.decode(binary, "ISO-8859-1")
     multi = F.when(name.isin(*MULTI_BYTE), binary)
     return (
         F.when(name == "UTF-8", B.utf8(binary))
-        .when(name == "US-ASCII", F.regexp_replace(latin1, r"[\x80-\xff]", "�"))
+        .when(name == "US-ASCII", F.regexp_replace(latin1, r"[\x80-\xff]", "\ufffd"))
         .when(name.isin(*MULTI_BYTE), _multi_byte_decoder()(multi, name))
         .when(
             name.isin(*ONE_BYTE),
@@ -107,4 +107,5 @@ def decode(binary: Column, charset: Column) -> Column:
 
 def chomp(text: Column) -> Column:
     """Without one closing line end."""
-    return F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")
+    ends = F.endswith(text, F.lit("\n")) | F.endswith(text, F.lit("\r"))
+    return F.when(ends, F.regexp_replace(text, r"(?:\r\n|\n|\r)\z", "")).otherwise(text)
