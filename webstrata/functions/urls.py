@@ -197,4 +197,6 @@ def with_resolved(df: DataFrame, ref: str, to: str, base: str = "_base") -> Data
         rest.alias("_rest"),
     )
     target = F.when(c("_settled"), c("_done")).otherwise(F.concat(c("_root"), remove_dot_segments(c("_full")), c("_rest")))
-    return df.select(*[k for k in keep if k != to], target.alias(to))
+    # As a generator of one row, so that a filter on the target stays above it instead of
+    # repeating the expressions of all steps below.
+    return df.select(*[k for k in keep if k != to], F.explode(F.array(target)).alias(to))

@@ -63,10 +63,8 @@ def _hrefs(pages: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 def _resolved(links: DataFrame, keep_unresolved: bool) -> DataFrame:
     """Resolve ``href`` by ``_base``; a target on ``src_host`` is internal."""
     out = U.with_resolved(links, "href", "target_url")
-    # One row per target, as a generator: a filter on the target stays above it instead
-    # of making Spark resolve every link a second time below.
-    targets = F.array("target_url")
-    out = out.withColumn("target_url", F.explode(targets if keep_unresolved else F.array_compact(targets)))
+    if not keep_unresolved:
+        out = out.where(F.col("target_url").isNotNull())
     same = F.coalesce(U.host(F.col("target_url")) == F.col("src_host"), F.lit(False))
     return out.withColumn("is_internal", F.when(F.col("target_url").isNotNull(), same)).drop("_base")
 

@@ -182,9 +182,9 @@ def field_lookup(captures: DataFrame, label: str, name: str = "value") -> DataFr
     return captures.withColumn(name, F.try_element_at(F.col("fields"), F.lit(label)))
 
 
-def derived_select(captures: DataFrame, names: FieldNames = FieldNames()) -> DataFrame:
-    """The well-known fields and what was derived from the record, one row per capture."""
+def derived_select(captures: DataFrame) -> DataFrame:
+    """What a record says and what was derived from it, without its bytes."""
     return captures.select(
-        "uri", "url", "ip", "crawl_time", "is_seed", "seed_url", "path_from_seed", "via",
+        "uri", "url", "ip", "crawl_time", "is_seed", "seed_url", "path_from_seed", "via", "fields",
         "content_type", "charset", "status", "scheme", "extension",
     )

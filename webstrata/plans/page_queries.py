@@ -207,7 +207,7 @@ def field_lookup(spark, sf_dir):
 @_query
 def derived_select(spark, sf_dir):
     df = parse.derived_select(_parsed(spark, sf_dir, True))
-    return df.withColumn("crawl_time", _time())
+    return df.withColumn("crawl_time", _time()).drop("fields")
 
 
 # Filters ---------------------------------------------------------------------------
