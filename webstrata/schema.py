@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 VERSION = "HDFSWriter/0.3"
 MAGIC = f"{VERSION}\r\n".encode("ascii")
 CRLF = "\r\n"
-DEFAULT_CHARSET = "ISO-8859-1"
 TIMESTAMP_FORMAT = "yyyyMMddHHmmss"
 
 # Fixed default limits: content size filter and file roll size.

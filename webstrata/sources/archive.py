@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import bytesview as B
-from ..schema import ROLL_BYTES
 
 _INPUT = "org.apache.hadoop.mapreduce.lib.input.SequenceFileAsBinaryInputFormat"
 _OUTPUT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileAsBinaryOutputFormat"
@@ -123,6 +122,3 @@ def sink_archive(raw: DataFrame, path: str, compression: str = "DEFAULT", max_by
 def check_roll_size(max_bytes: int) -> None:
     if max_bytes == 0 or max_bytes < -1:
         raise ValueError("the roll size must be positive, or -1 for no limit")
-
-
-__all__ = ["ROLL_BYTES", "UNFINISHED", "check_roll_size", "finished_files_glob", "scan_archive", "scan_multi", "sink_archive"]
