@@ -26,12 +26,9 @@ PICKED = 3
 #: Occurrences of a shingle in one text that count. The similarity asked for is that of the sets of shingles;
 #: with more labels a line repeated within two texts would outweigh all that they differ in.
 OCCURRENCES = 1
-#: Rows of a bucket, in an order that puts likely matches side by side, that each row is compared with.
-#: A bucket of up to one more is compared whole; see ``candidate_pairs`` for larger ones.
-NEIGHBOURS = 12
-#: Times that the buckets are sorted and compared, each time by other sketches. From the second time on only
-#: documents of different classes are paired.
-TURNS = 2
+#: Rows of a bucket, in an order that puts likely matches side by side, that each row is compared with: the
+#: nearest few at first, then more of those that are still of another class.
+NEAREST, NEIGHBOURS = 3, 12
 
 _SEEDS = W.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _SKETCHED = T.StructType(
@@ -132,29 +129,29 @@ def _pairs_schema() -> T.StructType:
     return T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _neighbours(values: np.ndarray, rows: list[np.ndarray], distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows up to ``distance`` apart with equal values that may be similar and aren't of one class."""
+def _neighbours(values: np.ndarray, rows: list[np.ndarray], lags: range) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows so far apart with equal values that may be similar and aren't of one class."""
     node, n, label = rows
-    left, right = [], []
-    for lag in range(1, min(distance, len(values) - 1) + 1):
+    left, right = [node[:0]], [node[:0]]
+    for lag in lags:
+        if lag >= len(values):
+            break
         a, b = slice(0, len(values) - lag), slice(lag, len(values))
         small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
         ok = (values[a] == values[b]) & (small >= SIMILARITY * large) & (label[a] != label[b])
         left.append(node[a][ok])
         right.append(node[b][ok])
-    if not left:
-        return node[:0], node[:0]
     return np.concatenate(left), np.concatenate(right)
 
 
-def candidate_pairs(entries: DataFrame, turn: int) -> DataFrame:
+def candidate_pairs(entries: DataFrame, most: int) -> DataFrame:
     """Distinct pairs of nodes to be aligned, out of ``entries`` (``node``, ``n``, ``label``, ``value``, ``near``).
 
     Entries are sorted over all tasks by bucket and, within it, by further sketches (``near``), so that documents
-    with more in common stand side by side; each is paired with the ``NEIGHBOURS`` before it. The sort ends in the
-    node, so a bucket of any size is dealt over as many tasks as it needs and none holds more than a few rows at a
-    time. Documents of one class are not compared again, and documents whose numbers of shingles rule the
-    similarity out are never paired; ``turn`` picks the further sketches, so that each round meets other neighbours."""
+    with more in common stand side by side; each is paired with up to ``most`` before it. The sort ends in the node,
+    so a bucket of any size is dealt over as many tasks as it needs, and none holds more than a batch of rows.
+    Documents of one class are not compared again, and documents whose numbers of shingles rule the similarity out
+    are never paired. A node paired with itself only has candidates among ``NEIGHBOURS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
@@ -162,16 +159,13 @@ def candidate_pairs(entries: DataFrame, turn: int) -> DataFrame:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "node", "n", "label")]
             if kept is not None:
                 now = [np.concatenate([k, x]) for k, x in zip(kept, now)]
-            start = 0 if kept is None else len(kept[0])
-            left, right = _neighbours(now[0], now[1:], NEIGHBOURS)
-            if start:  # pairs among the kept rows were given before
-                seen = now[1][:start]
-                new = ~(np.isin(left, seen) & np.isin(right, seen))
-                left, right = left[new], right[new]
+            left, right = _neighbours(now[0], now[1:], range(1, most + 1))
+            near = np.unique(np.concatenate(_neighbours(now[0], now[1:], range(most + 1, NEIGHBOURS + 1))))
             kept = [x[-NEIGHBOURS:] for x in now]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
+            a, b = np.concatenate([np.minimum(left, right), near]), np.concatenate([np.maximum(left, right), near])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    order = ["value", *[F.element_at("near", 1 + (turn * 3 + i) % (SKETCHES - 1)) for i in range(3)], "n", "node"]
+    order = ["value", *[F.element_at("near", i) for i in (1, 2, 3)], "n", "node"]
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     keyed = entries.select("node", "n", "label", "value", *[c.alias(f"_o{i}") for i, c in enumerate(cols)])
     sort = [f"_o{i}" for i in range(len(cols))]
@@ -269,17 +263,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     numbered = merged.select("digest", "_row.*", "least_id").withColumn("node", F.monotonically_increasing_id())
     nodes = materialize(numbered, "nodes")
 
-    classes = links = tried = None
-    for turn in range(TURNS):
-        pairs = candidate_pairs(_entries(nodes, classes), turn)
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # Compare nearest neighbours, then all neighbours that this left in different classes.
+    classes = None
+    first = materialize(candidate_pairs(_entries(nodes, None), NEAREST), "pairs")
+    if not first.isEmpty():
+        involved = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sequences = materialize(_sequences(docs, nodes.join(involved, "node", "left_semi")), "shingles")
-        new = materialize(_verified(pairs, sequences), "similar")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
+        links = materialize(_verified(first.where("a != b"), sequences), "similar")
+        classes = materialize(components(links), "classes")
+        second = candidate_pairs(_entries(nodes, classes), NEIGHBOURS).join(first, ["a", "b"], "left_anti")
+        links = links.unionByName(materialize(_verified(materialize(second, "pairs"), sequences), "similar"))
         classes = materialize(components(links), "classes")
     labels = nodes.select("digest", "node", "least_id")
     if classes is not None:
