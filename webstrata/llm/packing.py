@@ -55,7 +55,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = W.texts_of(batch.column("text"))
-            for part in W.blocks([len(t) for t in texts], 4 * W.BLOCK):
+            for part in W.blocks([len(t) for t in texts], 2 * W.BLOCK):
                 rows = []
                 tokens, first = encode(texts[part])
                 for k, doc_id in enumerate(ids[part]):

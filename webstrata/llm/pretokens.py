@@ -19,7 +19,7 @@ _WHITE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2
 #: Contractions of the pattern after an apostrophe. Fixed values.
 _SHORT, _LONG = "stmd", ("re", "ve", "ll")
 #: Distinct pre-tokens that a worker remembers; it forgets them all when there are more.
-REMEMBER = 1_500_000
+REMEMBER = 400_000
 
 #: The sign that stands for each byte in the vocabulary: printable ones for themselves, the others
 #: for the code points from 256 on, in order.
