@@ -136,7 +136,9 @@ def _gender() -> str:
 
 def _person() -> str:
     """Title kept, a first name of the same gender and script, and a drawn surname that follows the surname."""
-    seeds = "transform(names, n -> struct(n AS name, sha2(concat_ws('|', secret, 'name', lower(n), attempt), 256) AS s))"
+    # A full name that is drawn again gets another first name at first, so that the surname stays that of relatives.
+    turn = "CASE WHEN size(names) > 1 AND i > 0 THEN int(attempt / 8) ELSE attempt END"
+    seeds = f"transform(names, (n, i) -> struct(n AS name, sha2(concat_ws('|', secret, 'name', lower(n), {turn}), 256) AS s))"
     first = " ".join(
         f"WHEN gender = '{g}' AND cyrillic = {str(script == 'cyrillic').lower()} THEN "
         f"element_at({_names(g, script)}, {_number('x.s', '0')} % {len(FIRST_NAMES[g, script])} + 1)"

@@ -111,9 +111,9 @@ def _tiles(joined: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                queries = np.frombuffer(row["q_matrix"], "<i8").reshape(-1, row["dim"])
-                shard = np.frombuffer(row["matrix"], "<i8").reshape(-1, row["dim"])
                 query_ids, ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
+                queries = np.frombuffer(row["q_matrix"], "<i8").reshape(len(query_ids), row["dim"])
+                shard = np.frombuffer(row["matrix"], "<i8").reshape(len(ids), row["dim"])
                 if not row["dim"]:  # vectors without components score 0 with each other
                     queries, shard = np.zeros((len(query_ids), 1), np.int64), np.zeros((len(ids), 1), np.int64)
                 found = list(_best(queries, query_ids, shard, ids, k))
