@@ -272,8 +272,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = materialize(_verified(first.where("a != b"), sequences), "similar")
         classes = materialize(components(links), "classes")
         second = candidate_pairs(_entries(nodes, classes), NEIGHBOURS).join(first, ["a", "b"], "left_anti")
-        links = links.unionByName(materialize(_verified(materialize(second, "pairs"), sequences), "similar"))
-        classes = materialize(components(links), "classes")
+        new = materialize(_verified(materialize(second, "pairs"), sequences), "similar")
+        if not new.isEmpty():
+            stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            classes = materialize(components(stars.unionByName(new)), "classes")
     labels = nodes.select("digest", "node", "least_id")
     if classes is not None:
         labels = labels.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,7 +168,7 @@ def _best_features(counts: DataFrame, n_toxic: int, n_other: int, most: int) ->
     return np.array(sorted(r.feature for r in rows), dtype=np.int64)
 
 
-def _designs(rows: DataFrame, features: np.ndarray) -> list:
+def _designs(rows: DataFrame, features: np.ndarray) -> pa.Table:
     """(toxic, features present, features present after the swap or None) of each training row."""
     schema = "toxic int, present array<int>, swapped array<int>"
     known = np.zeros(1 << FEATURE_BITS, dtype=bool)
@@ -193,24 +194,26 @@ def _designs(rows: DataFrame, features: np.ndarray) -> list:
                     names=["toxic", "present", "swapped"],
                 )
 
-    return rows.select("text", "toxic").mapInArrow(run, schema).collect()  # at most TRAINING_ROWS short lists
+    return rows.select("text", "toxic").mapInArrow(run, schema).toArrow()  # at most TRAINING_ROWS short lists
 
 
-def _matrix(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return row, np.array([f for x in lists for f in x], dtype=np.int64)
+def _matrix(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of every entry."""
+    whole = lists.combine_chunks()
+    counts = pc.list_value_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(counts)), counts), whole.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def fit(designs: list, n_features: int, counterfactual: float = COUNTERFACTUAL) -> tuple[np.ndarray, float]:
+def fit(designs: pa.Table, n_features: int, counterfactual: float = COUNTERFACTUAL) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression, by Adam on all rows at once.
 
     The loss is the balanced log loss, a ridge penalty, and ``counterfactual`` times the mean squared change of
     the log odds between each text with identity terms and its swapped version."""
-    y = np.array([d.toxic > 0 for d in designs], dtype=float)
-    row, col = _matrix([d.present for d in designs])
-    pairs = [d for d in designs if d.swapped is not None]
-    row_a, col_a = _matrix([d.present for d in pairs])
-    row_b, col_b = _matrix([d.swapped for d in pairs])
+    y = (designs["toxic"].to_numpy() > 0).astype(float)
+    row, col = _matrix(designs["present"])
+    pairs = designs.filter(pc.is_valid(designs["swapped"]))
+    row_a, col_a = _matrix(pairs["present"])
+    row_b, col_b = _matrix(pairs["swapped"])
     share = np.where(y > 0, np.sqrt(max(1.0, (1 - y).sum()) / max(1.0, y.sum())), 1.0)
     share /= share.sum()
     weights, bias = np.zeros(n_features), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
@@ -219,7 +222,7 @@ def fit(designs: list, n_features: int, counterfactual: float = COUNTERFACTUAL)
         odds = bias + np.bincount(row, weights=weights[col], minlength=len(y))
         error = share * (1 / (1 + np.exp(-np.clip(odds, -500, 500))) - y)
         gradient = np.bincount(col, weights=error[row], minlength=n_features) + RIDGE * weights
-        if pairs:
+        if len(pairs):
             gap = np.bincount(row_a, weights=weights[col_a], minlength=len(pairs)) - np.bincount(row_b, weights=weights[col_b], minlength=len(pairs))
             pull = 2 * counterfactual / len(pairs) * gap
             gradient += np.bincount(col_a, weights=pull[row_a], minlength=n_features) - np.bincount(col_b, weights=pull[row_b], minlength=n_features)
