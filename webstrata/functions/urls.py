@@ -169,8 +169,8 @@ def with_base_parts(df: DataFrame, base: str, to: str = "_base") -> DataFrame:
 def with_resolved(df: DataFrame, ref: str, to: str, base: str = "_base") -> DataFrame:
     """Add a reference resolved against ``with_base_parts`` (RFC 3986); null if that fails.
 
-    An absolute web URL without path names the root of its site; whatever follows the
-    host is dropped then. Other schemes are returned as they are. The steps are
+    An absolute web URL without path names the root of its site; its query and fragment
+    are kept. Other schemes are returned as they are. The steps are
     projections of their own so that no intermediate value is computed twice."""
     c = F.col
     keep = df.columns
@@ -189,7 +189,7 @@ def with_resolved(df: DataFrame, ref: str, to: str, base: str = "_base") -> Data
         "*",
         F.when(c("_other"), c("_ref"))
         .when(c("_web") & F.endswith(c("_root"), F.lit("//")), F.lit(None).cast("string"))
-        .when(c("_web") & (c("_path") == ""), F.concat(c("_root"), F.lit("/")))
+        .when(c("_web") & (c("_path") == ""), F.concat(c("_root"), F.lit("/"), rest))
         .when(c("_path") == "", F.concat(c("_root"), c(base)["path"], same_path, rest))
         .alias("_done"),
         (c("_other") | (c("_path") == "") | (c("_web") & F.endswith(c("_root"), F.lit("//")))).alias("_settled"),
