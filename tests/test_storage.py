@@ -12,7 +12,7 @@ from webstrata import (
 )
 from webstrata.functions import bytesview as B
 from webstrata.plans.page_crawl import raw_crawl
-from webstrata.schema import MAGIC
+from webstrata.schema import MAGIC, RAW
 from webstrata.sources.archive import finished_files_glob
 
 
@@ -201,3 +201,18 @@ def test_frame(spark, raw):
     for r in framed.collect():
         assert int.from_bytes(bytes(r.doc)[:4], "big") == len(r.doc) - 4
     assert as_set(framed.withColumn("doc", B.unframe(F.col("doc")))) == as_set(raw)
+
+
+def test_unfinished_files_are_skipped_at_every_depth(spark, tmp_path):
+    raw = spark.createDataFrame([(f"http://a.com/{i}", bytearray(b"x" * i)) for i in range(5)], RAW).coalesce(1)
+    for job in ("job1", "job2"):
+        folder = tmp_path / job
+        sink_archive(raw, str(folder))
+        done = next(p for p in folder.iterdir() if p.name.startswith("part-"))
+        (folder / "x.open").write_bytes(done.read_bytes()[:40])
+        (folder / "y.invalid").write_bytes(done.read_bytes())
+    assert scan_archive(spark, str(tmp_path)).count() == 10
+    assert scan_archive(spark, str(tmp_path / "job1")).count() == 5
+    (tmp_path / "top").write_bytes(done.read_bytes())
+    (tmp_path / "z.open").write_bytes(b"")
+    assert scan_archive(spark, str(tmp_path)).count() == 15

@@ -47,17 +47,36 @@ def finished_files_glob(suffixes: Iterable[str] = UNFINISHED) -> str:
     return "{" + ",".join(p for p in parts if p) + "}"
 
 
-def _locations(paths: str | Iterable[str], skip_unfinished: bool) -> str:
+def _finished(spark: SparkSession, folder: str) -> list[str]:
+    """Patterns for the finished files in a folder and all folders below it, from a look at the names.
+
+    A folder with files only is named by a pattern, however many files it has. Folders with an unfinished name, and
+    hidden ones, are left out."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(s.getPath().getName(), s.isDirectory()) for s in system.listStatus(path)]
+    named = [(n, d) for n, d in found if not n.startswith(("_", ".")) and not n.endswith(UNFINISHED)]
+    below = [n for n, d in named if d]
+    files = [n for n, d in named if not d]
+    if not any(d for _, d in found):
+        return [f"{folder}/{finished_files_glob()}"] if files else []
+    return [f"{folder}/{n}" for n in files] + [p for n in below for p in _finished(spark, f"{folder}/{n}")]
+
+
+def _locations(spark: SparkSession, paths: str | Iterable[str], skip_unfinished: bool) -> str:
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         raise ValueError("no archive directory given")
-    glob = f"/{finished_files_glob()}" if skip_unfinished else ""
-    return ",".join(p.rstrip("/") + glob for p in paths)
+    paths = [p.rstrip("/") for p in paths]
+    if skip_unfinished:
+        # a folder without finished files keeps its pattern, so that reading it fails as for any missing input
+        paths = [q for p in paths for q in (_finished(spark, p) or [f"{p}/{finished_files_glob()}"])]
+    return ",".join(paths)
 
 
 def scan_archive(spark: SparkSession, paths: str | Iterable[str], skip_unfinished: bool = True) -> DataFrame:
-    """RAW rows of the SequenceFiles in one or more directories."""
-    pairs = spark.sparkContext.newAPIHadoopFile(_locations(paths, skip_unfinished), _INPUT, _BYTES, _BYTES)
+    """RAW rows of the SequenceFiles in one or more directories, and in all directories below them."""
+    pairs = spark.sparkContext.newAPIHadoopFile(_locations(spark, paths, skip_unfinished), _INPUT, _BYTES, _BYTES)
     stored = spark.createDataFrame(pairs, _PAIR, verifySchema=False)
     return stored.select(
         B.utf8(B.from_text_writable(F.col("key"))).alias("uri"),
