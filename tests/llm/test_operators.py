@@ -135,6 +135,31 @@ def test_near_duplicates(docs, texts, empty):
     assert kept.columns == docs.columns and kept.count() == len(classes(texts))
 
 
+def test_large_buckets_are_compared_whole(spark, monkeypatch):
+    dice = random.Random(5)
+    passage = [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(160):
+        own = [f"x{dice.randrange(12)}-{j}" for j in range(dice.choice([6, 10, 30]))]
+        texts.append((i, " ".join(passage + own + [f"y{i}"])))
+    monkeypatch.setattr(near_duplicates, "NEAREST", 1)
+    monkeypatch.setattr(near_duplicates, "NEIGHBOURS", 1)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    rows = near_duplicates.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    groups = collections.defaultdict(list)
+    for r in rows:
+        groups[r.class_id].append(r.doc_id)
+    assert sorted((sorted(g, key=str) for g in groups.values()), key=str) == classes(texts)
+
+
+def test_shared_shingles(monkeypatch):
+    monkeypatch.setattr(near_duplicates, "COLUMNS", 7)
+    rng = np.random.default_rng(2)
+    left, right = ([rng.choice(80, n, replace=False).astype(np.uint32) for n in sizes] for sizes in ([30, 1, 50], [40, 80]))
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in right] for a in left]
+    assert near_duplicates.shared_shingles(left, right).tolist() == want
+
+
 def test_ordered_similarity_is_sensitive_to_order():
     a = np.arange(100, dtype=np.uint32)
     assert near_duplicates.ordered_similarity(a, a, 0.8) == 1

@@ -27,8 +27,11 @@ PICKED = 3
 #: with more labels a line repeated within two texts would outweigh all that they differ in.
 OCCURRENCES = 1
 #: Rows of a bucket, in an order that puts likely matches side by side, that each row is compared with: the
-#: nearest few at first, then more of those that are still of another class.
+#: nearest few at first, then more of those that are still of another class. Larger buckets that still hold
+#: several classes are then compared whole, by tiles of two blocks.
 NEAREST, NEIGHBOURS = 3, 12
+#: Rows of a block of such a bucket, and shingles counted at once in a tile.
+BLOCK, COLUMNS = 256, 4096
 
 _SEEDS = W.mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 _SKETCHED = T.StructType(
@@ -151,11 +154,16 @@ def candidate_pairs(entries: DataFrame, most: int) -> DataFrame:
     with more in common stand side by side; each is paired with up to ``most`` before it. The sort ends in the node,
     so a bucket of any size is dealt over as many tasks as it needs, and none holds more than a batch of rows.
     Documents of one class are not compared again, and documents whose numbers of shingles rule the similarity out
-    are never paired. A node paired with itself only has candidates among ``NEIGHBOURS``."""
+    are never paired. A node paired with itself only has candidates among ``NEIGHBOURS``. A row without ``b`` names
+    in ``a`` a bucket at the edge of a task, whose rows may stand in two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
+        edges: list[int] = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            edges = [edges[0] if edges else batch.column("value")[0].as_py(), batch.column("value")[-1].as_py()]
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("value", "node", "n", "label")]
             if kept is not None:
                 now = [np.concatenate([k, x]) for k, x in zip(kept, now)]
@@ -164,6 +172,7 @@ def candidate_pairs(entries: DataFrame, most: int) -> DataFrame:
             kept = [x[-NEIGHBOURS:] for x in now]
             a, b = np.concatenate([np.minimum(left, right), near]), np.concatenate([np.maximum(left, right), near])
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(edges, pa.int64()), pa.nulls(len(edges), pa.int64())], names=["a", "b"])
 
     order = ["value", *[F.element_at("near", i) for i in (1, 2, 3)], "n", "node"]
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -244,6 +253,94 @@ def _verified(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right").mapInArrow(run, _pairs_schema())
 
 
+def _larger_buckets(entries: DataFrame, edges: DataFrame) -> DataFrame:
+    """(value, top, tops, others): buckets that neighbours alone don't cover, by the sizes of their commonest class
+    and of the rest. Buckets of a single class are left out."""
+    classes = entries.groupBy("value", "label").agg(F.count("*").alias("c"))
+    buckets = classes.groupBy("value").agg(F.sum("c").alias("rows"), F.max(F.struct("c", "label")).alias("top"))
+    cut = edges.select(F.col("a").alias("value"), F.lit(True).alias("cut")).distinct()
+    uncovered = buckets.join(cut, "value", "left").where((F.col("rows") > NEIGHBOURS + 1) | F.col("cut"))
+    sizes = uncovered.select("value", F.col("top.label").alias("top"), F.col("top.c").alias("tops"), (F.col("rows") - F.col("top.c")).alias("others"))
+    return sizes.where("others > 0")
+
+
+def _tiles(entries: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(value, kind, x, y, node, label, is_left): the rows of every tile.
+
+    The commonest class of a bucket and the rest are dealt over blocks by hash. Tiles set blocks of the class against
+    those of the rest (kind 0), and those of the rest against each other (kind 1), so that a class of any size is not
+    set against itself. A row goes to as many tiles as there are blocks opposite."""
+    count = [F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("tops", "others")]
+    counted = entries.join(buckets, "value").select("value", "node", "label", (F.col("label") == F.col("top")).alias("is_top"),
+                                                    count[0].alias("nx"), count[1].alias("ny"))
+    own = F.pmod(F.xxhash64("node", F.lit(BLOCK)), F.when(F.col("is_top"), F.col("nx")).otherwise(F.col("ny"))).cast("int")
+    rows = counted.withColumn("own", own)
+
+    def tile(kind: int, x, y, is_left):
+        return F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), is_left.alias("is_left"))
+
+    mine, last_y = F.col("own"), F.col("ny") - 1
+    across = F.transform(F.sequence(F.lit(0), last_y), lambda y: tile(0, mine, y, F.lit(True)))
+    back = F.transform(F.sequence(F.lit(0), F.col("nx") - 1), lambda x: tile(0, x, mine, F.lit(False)))
+    within = F.transform(F.sequence(F.lit(0), last_y), lambda y: tile(1, F.least(mine, y), F.greatest(mine, y), mine <= y))
+    placed = rows.select("value", "node", "label", F.explode(F.when(F.col("is_top"), across).otherwise(F.concat(back, within))).alias("t"))
+    return placed.select("value", "t.kind", "t.x", "t.y", "node", "label", "t.is_left")
+
+
+def shared_shingles(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of different shingles common to each text of ``left`` and each of ``right``, by products of 0/1 blocks."""
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for texts in (left, right):
+        hashes, owner = np.concatenate(texts), np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        at = np.searchsorted(common, hashes)
+        known = at < len(common)
+        known[known] = common[at[known]] == hashes[known]
+        order = np.argsort(at[known], kind="stable")
+        sides.append((at[known][order], owner[known][order], len(texts)))
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    for start in range(0, len(common), COLUMNS):
+        blocks = []
+        for at, owner, n in sides:
+            part = slice(*np.searchsorted(at, [start, start + COLUMNS]))
+            block = np.zeros((n, min(COLUMNS, len(common) - start)), dtype=np.float32)
+            block[owner[part], at[part] - start] = 1
+            blocks.append(block)
+        counts += blocks[0] @ blocks[1].T
+    return counts
+
+
+def tile_links(tile: pa.Table) -> pa.Table:
+    """Links that join the classes of a tile's two blocks: similar pairs, none between classes that others joined."""
+    node, label = tile.column("node").to_numpy(), tile.column("label").to_numpy()
+    texts = [np.frombuffer(x, np.uint32) for x in tile.column("shingles").to_pylist()]
+    is_left = tile.column("is_left").to_numpy()
+    kind, x, y = (tile.column(c)[0].as_py() for c in ("kind", "x", "y"))
+    left, right = np.flatnonzero(is_left), np.flatnonzero(~is_left)
+    if kind == 1 and x == y:
+        left = right = np.arange(len(node))
+    links: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        size = np.array([len(t) for t in texts])
+        shared = shared_shingles([texts[i] for i in left], [texts[i] for i in right])
+        enough = shared >= SIMILARITY / (1 + SIMILARITY) * (size[left][:, None] + size[right][None, :]) - 1e-3
+        enough &= label[left][:, None] != label[right][None, :]
+        root = {int(v): int(v) for v in np.unique(label)}
+
+        def find(v: int) -> int:
+            while root[v] != v:
+                root[v] = v = root[root[v]]
+            return v
+
+        for i, j in zip(*np.nonzero(enough)):
+            a, b = left[i], right[j]
+            one, other = find(int(label[a])), find(int(label[b]))
+            if one != other and ordered_similarity(texts[a], texts[b], SIMILARITY) >= SIMILARITY - 1e-9:
+                root[max(one, other)] = min(one, other)
+                links.append((int(node[a]), int(node[b])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document (``doc_id``, ``text``; other columns are ignored): ``doc_id``, ``class_id``, and
     ``text_key`` of the text and ``class_no``, which tells classes apart where ids are repeated.
@@ -263,19 +360,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     numbered = merged.select("digest", "_row.*", "least_id").withColumn("node", F.monotonically_increasing_id())
     nodes = materialize(numbered, "nodes")
 
-    # Compare nearest neighbours, then all neighbours that this left in different classes.
+    # Compare nearest neighbours, then all neighbours that this left in different classes, and then the whole of
+    # larger buckets as far as their rows still are in different classes.
     classes = None
-    first = materialize(candidate_pairs(_entries(nodes, None), NEAREST), "pairs")
+    apart = _entries(nodes, None)
+    first = materialize(candidate_pairs(apart, NEAREST), "pairs")
     if not first.isEmpty():
-        involved = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        rest = apart.join(_larger_buckets(apart, first.where("b is null")), "value", "left_semi")
+        paired = first.where("b is not null").select(F.explode(F.array("a", "b")).alias("node"))
+        involved = paired.unionByName(rest.select("node")).distinct()
         sequences = materialize(_sequences(docs, nodes.join(involved, "node", "left_semi")), "shingles")
         links = materialize(_verified(first.where("a != b"), sequences), "similar")
         classes = materialize(components(links), "classes")
-        second = candidate_pairs(_entries(nodes, classes), NEIGHBOURS).join(first, ["a", "b"], "left_anti")
-        new = materialize(_verified(materialize(second, "pairs"), sequences), "similar")
-        if not new.isEmpty():
-            stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            classes = materialize(components(stars.unionByName(new)), "classes")
+        second = materialize(candidate_pairs(_entries(nodes, classes), NEIGHBOURS).join(first, ["a", "b"], "left_anti"), "pairs")
+        classes = _joined(classes, materialize(_verified(second, sequences), "similar"))
+        now = _entries(nodes, classes)
+        tiles = _tiles(now, _larger_buckets(now, second.where("b is null"))).join(sequences, "node")
+        found = tiles.groupBy("value", "kind", "x", "y").applyInArrow(tile_links, _pairs_schema())
+        classes = _joined(classes, materialize(found, "similar"))
     labels = nodes.select("digest", "node", "least_id")
     if classes is not None:
         labels = labels.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -288,6 +390,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", class_id.alias("class_id"), "text_key", "class_no")
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after further links."""
+    if links.isEmpty():
+        return classes
+    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return materialize(components(stars.unionByName(links)), "classes")
+
+
 def _entries(nodes: DataFrame, classes: DataFrame | None) -> DataFrame:
     """One row per node and sketch: the bucket, the sketches that follow in turn, and the node's class so far."""
     if classes is None:
