@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webstrata import decode_text, parse_records
+from webstrata.functions import charset as C
 from webstrata.functions import mime as M
 from webstrata.schema import MAGIC
 
@@ -92,6 +93,13 @@ def test_decode(spark):
         ("GB18030", "中文".encode("gb18030"), "中文"),
         ("UTF-16LE", "aé日".encode("utf-16-le"), "aé日"),
         ("UTF-16", "aé日".encode("utf-16"), "aé日"),
+        ("UTF16", b"\x00a\xfe\x01", "a\ufe01"),
+        ("utf-32", b"\xff\xfe\x00\x00a\x00\x00\x00", "a"),
+        ("x-user-defined", b"\xe9", "é"),
+        ("x", b"\xe9", "é"),
+        ("--", b"\xe9", "é"),
+        ("IBM037", b"\xc8\x89", "Hi"),
+        ("ISO-2022-JP", "日本a".encode("iso-2022-jp"), "日本a"),
         ("BIG5", b"\xa4\xff", "�"),
         ("UTF-8", b"", ""),
         ("UTF-8", None, None),
@@ -104,6 +112,24 @@ def test_decode(spark):
             assert r.text == r.want, r
 
 
+SPELLINGS = [
+    ("SJIS", "shift_jis"), ("X-SJIS", "shift_jis"), ("CP932", "cp932"), ("MS932", "cp932"), ("CP949", "cp949"), ("X-WINDOWS-949", "cp949"),
+    ("X-GBK", "gbk"), ("CP936", "gbk"), ("KSC5601", "euc_kr"), ("EUCJP", "euc_jp"), ("BIG5HKSCS", "big5hkscs"), ("UTF16", "utf_16"),
+    ("KOI8_R", "koi8_r"), ("LATIN2", "iso8859_2"), ("CP866", "cp866"), ("X-MAC-ROMAN", "mac_roman"), ("ISO_8859-15", "iso8859_15"),
+    ("csShiftJIS", "shift_jis"), ("windows-1251", "cp1251"), ("TIS-620", "tis_620"),
+]
+
+
+def test_every_registered_label_is_decoded(spark):
+    """All labels of the registry and some other spellings, on bytes that any charset has something for."""
+    data = bytes(range(0x20, 0x7F)) + b"\xa4\xa2\xb0\xa1\xc6\xfc" + bytes(range(0xC0, 0xE0))
+    names = SPELLINGS + [(k.lower(), v) for k, v in C.codecs_by_label().items() if v not in ("utf_16", "utf_32")]
+    df = spark.createDataFrame([(k, v, bytearray(data)) for k, v in names], "charset string, codec string, body binary")
+    wrong = [r.charset for r in decode_text(df).collect() if r.codec not in ("utf_16", "utf_32") and r.text != data.decode(r.codec, "replace")]
+    assert not wrong
+    assert [r[0] for r in df.select(C.label(df.charset)).collect()] == [v for _, v in names]
+
+
 def test_only_multi_byte_rows_go_to_python(spark):
     df = spark.createDataFrame([("UTF-8", bytearray(b"x"))], "charset string, body binary")
     plan = decode_text(df)._jdf.queryExecution().executedPlan().toString()

@@ -1,14 +1,20 @@
 """Decoding bytes by charset label.
 
-UTF-8, US-ASCII, UTF-16/32 and all one-byte charsets are decoded by Spark
-expressions: a one-byte charset is ISO-8859-1 with its upper half translated.
-Only the remaining multi-byte charsets go through an Arrow UDF, and only rows
-that have such a charset send their bytes there.
+Labels are those of Python's codec registry, with any punctuation and with an ``X-`` or ``CS`` before them.
+UTF-8, US-ASCII and all one-byte charsets that contain ASCII are decoded by Spark expressions: such a charset is
+ISO-8859-1 with its upper half translated. Other charsets (multi-byte ones, UTF-16 and UTF-32, EBCDIC) go through an
+Arrow UDF, and only rows that have such a charset send their bytes there.
 """
 
 from __future__ import annotations
 
 import codecs
+import encodings
+import importlib
+import pkgutil
+import re
+from encodings.aliases import aliases
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,89 +24,88 @@ from . import bytesview as B
 
 _UPPER_HALF = bytes(range(0x80, 0x100))
 _LATIN1_UPPER = _UPPER_HALF.decode("latin-1")
+_ASCII = bytes(range(0x80))
 
-# One-byte charsets by the label under which pages declare them.
-ONE_BYTE = (
-    [f"ISO-8859-{n}" for n in (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13, 14, 15, 16)]
-    + [f"WINDOWS-125{n}" for n in range(9)]
-    + ["WINDOWS-874", "KOI8-R", "KOI8-U", "TIS-620", "MACINTOSH", "IBM437", "IBM850", "IBM852", "IBM866"]
-)
-# Labels with another name for the codec.
-_CODEC_NAMES = {"MACINTOSH": "mac-roman", "X-MAC-ROMAN": "mac-roman", "WINDOWS-874": "cp874"}
-
-# Other spellings -> label used here.
-ALIASES = {
-    "UTF8": "UTF-8",
-    "ASCII": "US-ASCII",
-    "LATIN1": "ISO-8859-1",
-    "ISO8859-1": "ISO-8859-1",
-    "ISO_8859-1": "ISO-8859-1",
-    **{f"CP125{n}": f"WINDOWS-125{n}" for n in range(9)},
-    **{f"ISO8859-{n}": f"ISO-8859-{n}" for n in range(2, 17)},
-    **{f"ISO_8859-{n}": f"ISO-8859-{n}" for n in range(2, 17)},
-}
-
-# Multi-byte charsets, decoded in Python.
-MULTI_BYTE = (
-    "SHIFT_JIS", "SHIFT-JIS", "X-SJIS", "WINDOWS-31J", "EUC-JP", "ISO-2022-JP",
-    "GB2312", "GBK", "GB18030", "HZ-GB-2312", "BIG5", "BIG5-HKSCS",
-    "EUC-KR", "KS_C_5601-1987", "ISO-2022-KR", "WINDOWS-949",
-    "UTF-7", "UTF-16", "UTF-16LE", "UTF-16BE", "UTF-32", "UTF-32LE", "UTF-32BE",
-)
-_CODEC_NAMES |= {"X-SJIS": "shift_jis", "SHIFT-JIS": "shift_jis", "WINDOWS-31J": "cp932", "WINDOWS-949": "cp949"}
-
-
-def _codec(label: str) -> str:
-    return codecs.lookup(_CODEC_NAMES.get(label, label)).name
+UTF_8, US_ASCII, LATIN_1 = "utf_8", "ascii", "latin_1"
+# Codecs that stand for no charset of documents.
+_NO_CHARSETS = {"aliases", "charmap", "idna", "mbcs", "oem", "punycode", "raw_unicode_escape", "undefined", "unicode_escape"}
+# Labels that the registry lacks -> codec.
+_MORE_LABELS = {"WINDOWS874": "cp874", "WINDOWS936": "gbk", "WINDOWS949": "cp949", "WINDOWS950": "cp950"}
 
 
-def _map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+def _key(label: str) -> str:
+    return re.sub("[^A-Z0-9]", "", label.upper())
+
+
+@cache
+def codecs_by_label() -> dict[str, str]:
+    """Codec of every registered label, in capital letters and digits only."""
+    modules = {m.name for m in pkgutil.iter_modules(encodings.__path__)} - _NO_CHARSETS
+    known = {name for name in modules if codecs.lookup(name)._is_text_encoding}
+    named = {_key(name): name for name in sorted(known)}
+    also = {_key(alias): name for alias, name in sorted(aliases.items()) if name in known}
+    return _MORE_LABELS | also | named | {"ISO88591": LATIN_1}
+
+
+@cache
+def upper_halves() -> dict[str, str]:
+    """Per codec of a one-byte charset that contains ASCII the 128 characters of its upper half."""
+    halves = {}
+    for name in sorted(set(codecs_by_label().values()) - {US_ASCII, LATIN_1}):
+        module = importlib.import_module(f"encodings.{name}")
+        by_table = hasattr(module, "decoding_table") or hasattr(module, "decoding_map")
+        if by_table and _ASCII.decode(name, "replace") == _ASCII.decode("ascii"):
+            halves[name] = _UPPER_HALF.decode(name, "replace")
+    return halves
 
 
-def _upper_halves() -> dict[str, str]:
-    """Per one-byte charset the 128 characters of its upper half."""
-    return {label: _UPPER_HALF.decode(_codec(label), "replace") for label in ONE_BYTE}
+@cache
+def through_python() -> tuple[str, ...]:
+    """Codecs of the charsets that expressions can't decode."""
+    return tuple(sorted(set(codecs_by_label().values()) - set(upper_halves()) - {UTF_8, US_ASCII, LATIN_1}))
+
+
+def _map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
 
 
 def label(charset: Column) -> Column:
-    """Upper-case label with aliases resolved."""
-    upper = F.upper(F.trim(charset))
-    return F.coalesce(F.try_element_at(_map(ALIASES), upper), upper)
+    """Codec of a charset label; null for unknown ones."""
+    known = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in codecs_by_label().items()) + ")")
+    key = F.regexp_replace(F.upper(charset), "[^A-Z0-9]", "")
+    return F.coalesce(F.try_element_at(known, key), F.try_element_at(known, F.regexp_replace(key, r"\A(?:X|CS)", "")))
 
 
-def _multi_byte_decoder():
-    """Arrow UDF (bytes, label) -> text. It is built in here with all it needs, so that
+def _decoder():
+    """Arrow UDF (bytes, codec) -> text. It is built in here with all it needs, so that
     executors run it without having this package installed."""
-    codec_of = {label: _codec(label) for label in MULTI_BYTE}
+    marks = {"utf_16": (b"\xff\xfe", b"\xfe\xff"), "utf_32": (b"\xff\xfe\x00\x00", b"\x00\x00\xfe\xff")}
+
+    def text(data: bytes, codec: str) -> str:
+        # without a byte order mark the order is that of the network, as on the JVM
+        if codec in marks and not data.startswith(marks[codec]):
+            codec += "_be"
+        return data.decode(codec, "replace")
 
     def decode_batch(data: pd.Series, name: pd.Series) -> pd.Series:
-        texts = [
-            None if b is None or n not in codec_of else bytes(b).decode(codec_of[n], "replace")
-            for b, n in zip(data, name)
-        ]
-        return pd.Series(texts, dtype="object")
+        return pd.Series([None if b is None or n is None else text(bytes(b), n) for b, n in zip(data, name)], dtype="object")
 
     return F.pandas_udf(decode_batch, "string")
 
 
 def decode(binary: Column, name: Column) -> Column:
-    """Text of the bytes by a ``label``; a null or unknown one counts as ISO-8859-1.
+    """Text of the bytes by the codec of a ``label``; a null one counts as ISO-8859-1.
 
     Bytes that are wrong in their charset become U+FFFD. Both should be plain columns:
     they are used several times."""
     latin1 = F.decode(binary, "ISO-8859-1")
-    multi = F.when(name.isin(*MULTI_BYTE), binary)
+    python = name.isin(*through_python())
+    half = F.try_element_at(_map(upper_halves()), name)
     return (
-        F.when(name == "UTF-8", B.utf8(binary))
-        .when(name == "US-ASCII", F.regexp_replace(latin1, r"[\x80-\xff]", "\ufffd"))
-        .when(name.isin(*MULTI_BYTE), _multi_byte_decoder()(multi, name))
-        .when(
-            name.isin(*ONE_BYTE),
-            F.call_function(
-                "translate", latin1, F.lit(_LATIN1_UPPER), F.try_element_at(_map(_upper_halves()), name)
-            ),
-        )
+        F.when(name == UTF_8, B.utf8(binary))
+        .when(name == US_ASCII, F.regexp_replace(latin1, r"[\x80-\xff]", "\ufffd"))
+        .when(python, _decoder()(F.when(python, binary), F.when(python, name)))
+        .when(name.isin(*upper_halves()), F.call_function("translate", latin1, F.lit(_LATIN1_UPPER), half))
         .otherwise(latin1)
     )
 

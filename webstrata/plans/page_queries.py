@@ -7,6 +7,7 @@ SQL over the same pages.
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -373,23 +374,30 @@ def detect_charset(spark, sf_dir):
     return _parsed(spark, sf_dir).select("uri", "content_type", "charset")
 
 
+#: Labels as pages spell them, and words that they can encode.
+PHRASES = [
+    ("SJIS", "日本語"), ("CP932", "髙い日本"), ("EUCJP", "日本語"), ("ISO-2022-JP", "日本語"), ("CP949", "한국어"), ("X-GBK", "中文網"),
+    ("BIG5HKSCS", "香港"), ("KOI8_R", "Привет"), ("LATIN2", "Žluťoučký"), ("CP866", "Привет"), ("ISO8859-7", "Ελλάδα"),
+]
+
+
 @_query
 def decode_text(spark, sf_dir):
+    """Pages in UTF-8, ISO-8859-1, Windows-1252 and UTF-16LE, or in ASCII with a phrase in another charset."""
     pages = read_pages(spark, sf_dir)
-    kind = c("page_id") % 4
+    kind = c("page_id") % (4 + len(PHRASES))
     line = F.concat(c("html"), F.lit("\r\n"))
     # Only characters that ISO-8859-1 has, where the bytes are in it.
     narrow = F.regexp_replace(line, "[^\\x00-\\x7e\\xa0-\\xff]", "?")
-    coded = pages.select(
-        "page_id",
-        F.when(kind == 0, F.encode(line, "UTF-8"))
-        .when(kind == 1, F.encode(narrow, "ISO-8859-1"))
-        .when(kind == 2, F.encode(narrow, "ISO-8859-1"))
-        .otherwise(F.encode(line, "UTF-16LE"))
-        .alias("body"),
-        F.when(kind == 0, "UTF-8").when(kind == 1, None).when(kind == 2, "WINDOWS-1252").otherwise("UTF-16LE").alias("charset"),
-    )
-    decoded = text.decode_text(coded)
+    plain = F.encode(F.regexp_replace("html", "[^\\x00-\\x7e]", "?"), "US-ASCII")
+    in_latin, in_utf16 = F.encode(narrow, "ISO-8859-1"), F.encode(line, "UTF-16LE")
+    body, charset = F.when(kind == 0, F.encode(line, "UTF-8")), F.when(kind == 0, "UTF-8")
+    for k, (bytes_, name) in enumerate([(in_latin, None), (in_latin, "WINDOWS-1252"), (in_utf16, "UTF-16LE")], 1):
+        body, charset = body.when(kind == k, bytes_), charset.when(kind == k, name)
+    for k, (name, phrase) in enumerate(PHRASES, 4):
+        coded = phrase.encode(codecs.lookup(name.removeprefix("X-")).name)
+        body, charset = body.when(kind == k, F.concat(plain, F.lit(coded + b"\r\n"))), charset.when(kind == k, name)
+    decoded = text.decode_text(pages.select("page_id", body.alias("body"), charset.alias("charset")))
     return decoded.select("page_id", F.md5(F.encode("text", "UTF-8")).alias("text_md5"), F.length("text").alias("chars"))
 
 

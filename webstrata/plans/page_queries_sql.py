@@ -10,7 +10,7 @@ from ..functions.urls import DEFAULT_PAGE_TYPES, DEFAULT_PAGES
 from ..operators.filters import MEDIA_EXTENSIONS
 from ..schema import BAD_HEADER, TRUNCATED, UNWRITTEN_SIZE, VERSION
 from .page_crawl import META, ODD_LINKS, XML
-from .page_queries import LABELS
+from .page_queries import LABELS, PHRASES
 
 _CRLF = "chr(13) || chr(10)"
 
@@ -285,7 +285,9 @@ FROM (SELECT {_ODD_URL} AS uri, body, response FROM cap)"""
     " CASE WHEN page_id % 5 = 3 THEN 'WINDOWS-1252' END AS charset FROM pages",
     "detect_charset": _from_crawl("SELECT url AS uri, content_type, charset FROM cap"),
     "decode_text": f"""SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS chars
-FROM (SELECT page_id, CASE WHEN page_id % 4 IN (1, 2) THEN {_NARROW} ELSE html END AS t FROM pages)""",
+FROM (SELECT page_id, CASE WHEN kind IN (0, 3) THEN html WHEN kind IN (1, 2) THEN {_NARROW}
+    ELSE regexp_replace(html, '[^\\x00-\\x7e]', '?', 'g') || [{', '.join(_quoted(x) for _, x in PHRASES)}][kind - 3] END AS t
+  FROM (SELECT page_id, html, page_id % {4 + len(PHRASES)} AS kind FROM pages))""",
     "url_scheme": _from_crawl("SELECT page_id, CASE WHEN page_id % 8 = 0 THEN 'dns' ELSE scheme END AS scheme FROM cap"),
     "url_extension": _from_crawl(f"SELECT page_id, {_ODD_EXTENSION} AS extension FROM cap"),
     "normalize_url": _from_crawl(
