@@ -10,7 +10,7 @@ from __future__ import annotations
 import codecs
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import bytesview as B
@@ -136,15 +136,18 @@ def sink_rolling(spark, sf_dir):
     path = fresh_dir(spark, "rolled")
     rolling.sink_rolling(raw_crawl(spark, sf_dir), path, limit)
     rows = spark.read.parquet(path).select(
-        "file_no", c("_metadata.file_name").alias("file"), F.octet_length("doc").cast("bigint").alias("n")
+        "file_no", c("_metadata.file_name").alias("file"), c("_metadata.row_index").alias("at"), F.octet_length("doc").cast("bigint").alias("n")
     )
     files = rows.groupBy("file", "file_no").agg(
-        F.count("*").alias("records"), F.sum("n").alias("bytes"), F.max("n").alias("largest")
+        F.count("*").alias("records"), F.sum("n").alias("bytes"), F.max_by("n", "at").alias("last")
     )
-    return files.agg(
+    task = F.regexp_extract("file", r"\Apart-(\d+)", 1)
+    rolled = c("file_no") < F.max("file_no").over(Window.partitionBy(task))
+    return files.withColumn("rolled", rolled).agg(
         F.sum("records").alias("records"),
         F.sum("bytes").alias("bytes"),
-        F.count_if(c("bytes") > limit + c("largest")).alias("files_too_large"),
+        F.count_if(c("bytes") - c("last") > limit).alias("rolled_late"),
+        F.count_if(c("rolled") & (c("bytes") <= limit)).alias("rolled_early"),
     )
 
 

@@ -212,7 +212,7 @@ ORACLES: dict[str, str] = {
     ),
     "sink_table": _from_crawl(f"SELECT {_PARSED_COLUMNS}, crawl_date FROM cap"),
     "sink_rolling": _from_crawl(
-        "SELECT count(*) AS records, CAST(sum(strlen(doc)) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS files_too_large FROM docs"
+        "SELECT count(*) AS records, CAST(sum(strlen(doc)) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS rolled_late, CAST(0 AS BIGINT) AS rolled_early FROM docs"
     ),
     "named_fields": _from_crawl(
         "SELECT page_id, url, ip AS ip_address, digits AS crawl_time, CASE WHEN is_seed THEN 'true' ELSE 'false' END AS is_seed,"

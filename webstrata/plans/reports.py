@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..operators.links import hosted_links
 from ..sources.scratch import materialize
 
+#: Records of a block in ``running_bytes``.
+BLOCK_ROWS = 1_000_000
+
 
 def count_charsets(captures: DataFrame) -> DataFrame:
     """Captures per charset; null for those that declare none."""
@@ -45,15 +48,16 @@ def running_bytes(
     """Bytes appended to a shard up to and including each record, as ``position``.
 
     Each shard is cut along its order into blocks of about equal rows, so a shard of
-    any size is spread over many tasks: the sum inside a block plus the total of the
+    any size is spread over many tasks, of at most about ``BLOCK_ROWS`` rows each: the sum inside a block plus the total of the
     blocks before it. The block numbers are written out, because both sums have to
     see the same ones. Records that are equal in ``order`` are told apart by a row id
     and may lie in different blocks; which of them comes first is open."""
     spark = raw.sparkSession
-    n = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     names = list(dict.fromkeys([shard, *order, *keep]))
     size = (F.octet_length("doc") + 4).cast("bigint")
     narrow = raw.select(*names, size.alias("bytes"), F.monotonically_increasing_id().alias("_row"))
+    narrow = materialize(narrow, "sizes")
+    n = blocks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-narrow.count() // BLOCK_ROWS))
     ranges = narrow.repartitionByRange(n, shard, *order, "_row")
     blocked = materialize(ranges.withColumn("_block", F.spark_partition_id()), "blocks")
     sums = blocked.groupBy(shard, "_block").agg(F.sum("bytes").alias("_sum"))
@@ -71,12 +75,12 @@ def running_bytes(
     ).select(*names, "bytes", (F.col("_start") + F.col("_inside")).alias("position"))
 
 
-def output_text(counts: DataFrame, path: str, name: str, count: str = "documents", no_name: str = "null") -> None:
-    """Write a count report as one text file of ``name<TAB>count`` lines, by name.
+def output_text(counts: DataFrame, path: str, name: str, count: str = "documents", no_name: str = "null", one_file: bool = False) -> None:
+    """Write a count report as text files of ``name<TAB>count`` lines, by name within and across the files.
 
-    For reports, whose size is the number of different names. The rows are put in
-    order by the tasks before they are merged into the single file."""
+    ``one_file`` merges them in one task: for reports known to be small."""
     lines = counts.select(
         F.concat_ws("\t", F.coalesce(F.col(name), F.lit(no_name)), F.col(count).cast("string")).alias("value")
     )
-    lines.orderBy("value").coalesce(1).write.text(path)
+    ordered = lines.orderBy("value")
+    (ordered.coalesce(1) if one_file else ordered).write.text(path)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pyarrow as pa
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import ROLL_BYTES
 from .archive import check_roll_size
@@ -18,30 +18,31 @@ def assign_files(df: DataFrame, max_bytes: int = ROLL_BYTES, size: Column | None
     over the limit, so a file is at most one record larger.
 
     The rule starts anew with each file, which no running sum expresses. It is applied
-    to the stream of batches of a task with a single number as state; there is no
-    shuffle, no group is held in memory, and the records only pass through."""
+    to the stream of sizes of a task with a single number as state; there is no
+    shuffle, no group is held in memory, and only the sizes go through Python."""
     check_roll_size(max_bytes)
     size = F.octet_length("doc") if size is None else size
-    sized = df.withColumn("_size", F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint")))
     if max_bytes == -1:
-        return sized.drop("_size").withColumn(to, F.lit(0))
-    schema = T.StructType(df.schema.fields + [T.StructField(to, T.IntegerType())])
+        return df.withColumn(to, F.lit(0))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         file_no, used = 0, 0
-        for batch in batches:
-            at = batch.schema.get_field_index("_size")
-            numbers = []
-            for n in batch.column(at).to_pylist():
-                if used > max_bytes:
-                    file_no, used = file_no + 1, 0
-                used += n
-                numbers.append(file_no)
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [f.name for i, f in enumerate(batch.schema) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32())], names=[*names, to])
-
-    return sized.mapInArrow(number, schema)
+        for sizes in batches:
+            total = used + np.cumsum(sizes.to_numpy(dtype=np.int64))
+            numbers = np.empty(len(total), dtype=np.int32)
+            start, before = 0, 0
+            while start < len(total):
+                # the record that takes the file over the limit is its last one
+                over = int(np.searchsorted(total, before + max_bytes, side="right"))
+                numbers[start : over + 1] = file_no
+                start = over + 1
+                if over < len(total):
+                    file_no, before = file_no + 1, int(total[over])
+            used = int(total[-1]) - before if len(total) else used
+            yield pd.Series(numbers)
+
+    sizes = F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint"))
+    return df.withColumn(to, F.pandas_udf(number, "int").asNondeterministic()(sizes))
 
 
 def sink_rolling(df: DataFrame, path: str, max_bytes: int = ROLL_BYTES, size: Column | None = None, mode: str = "errorifexists") -> None:
