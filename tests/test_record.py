@@ -204,3 +204,12 @@ def test_unused_columns_are_not_computed(spark, tmp_path):
     spark.createDataFrame([("u", bytearray(MAGIC), "x")], "uri string, doc binary, other string").write.parquet(path)
     plan = parse_records(spark.read.parquet(path)).select("uri")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<uri:string>" in plan
+
+
+def test_rename_over_a_field_of_its_own(spark):
+    df = spark.createDataFrame([({"Via": "a", "Referrer": "b", "X": "c"},), ({"Referrer": "b"},), (None,)], "fields map<string,string>")
+    got = [r.fields for r in rename_fields(df, FieldNames(), FieldNames(via="Referrer")).collect()]
+    assert got == [{"Referrer": "a", "X": "c"}, {"Referrer": "b"}, None]
+    both = spark.createDataFrame([({"Via": "a", "Ip-Address": "b"},)], "fields map<string,string>")
+    swapped = rename_fields(both, FieldNames(), FieldNames(via="Ip-Address", ip="Via")).first().fields
+    assert swapped == {"Ip-Address": "a", "Via": "b"}

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The value of the last Content-Type header. The leading ".*\n" skips the status
-# line and, being greedy, all earlier headers of the same name.
-_HEADER = r"(?is)\A.*\ncontent-type:([^\r\n]*)"
 _MIME = r'\A\s*"?\s*([A-Za-z0-9/+.\-]*)'
 _CHARSET = r"(?is)\A[^;]*;(?:.*;)?\s*charset[^=;]*=([^;]*)"
 
@@ -24,12 +21,7 @@ _META_CONTENT = r'(?is)content\s*=\s*"([^"]*)"\z'
 
 
 def content_type_header(response_head: Column) -> Column:
-    """Value of the last Content-Type header, null without one."""
-    return F.nullif(F.regexp_extract(response_head, _HEADER, 1), F.lit(""))
-
-
-def lower_content_type_header(response_head: Column) -> Column:
-    """The same in lower case, by byte searches only: what type and charset need."""
+    """Value of the last Content-Type header in lower case, null without one, by byte searches only."""
     mark = "\ncontent-type:"
     head = F.lower(response_head)
     return F.when(F.contains(head, F.lit(mark)), F.substring_index(F.substring_index(head, mark, -1), "\n", 1))

@@ -60,15 +60,21 @@ def named_fields(df: DataFrame, names: FieldNames = FieldNames()) -> DataFrame:
 
 
 def rename_fields(df: DataFrame, old: FieldNames, new: FieldNames) -> DataFrame:
-    """Relabel the well-known fields of a ``fields`` map; other labels stay."""
+    """Relabel the well-known fields of a ``fields`` map; other labels stay.
+
+    Where a record also has a field of its own under the new label, the relabelled one wins."""
     changed = [(a, b) for (_, a), (_, b) in zip(old.items(), new.items()) if a != b]
     if not changed:
         return df
     labels = F.create_map(*[F.lit(x) for pair in changed for x in pair])
-    return df.withColumn(
-        "fields",
-        F.transform_keys("fields", lambda k, _: F.coalesce(F.try_element_at(labels, k), k)),
-    )
+    before = F.create_map(*[F.lit(x) for a, b in changed for x in (b, a)])
+
+    def stays(k: Column, _: Column) -> Column:
+        replaced = F.coalesce(F.map_contains_key("fields", F.coalesce(F.try_element_at(before, k), F.lit(""))), F.lit(False))
+        return ~replaced | F.try_element_at(labels, k).isNotNull()
+
+    kept = F.map_filter("fields", stays)
+    return df.withColumn("fields", F.transform_keys(kept, lambda k, _: F.coalesce(F.try_element_at(labels, k), k)))
 
 
 def _record(field_block: Column, request: Column, response: Column) -> Column:

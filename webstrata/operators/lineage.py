@@ -108,7 +108,7 @@ def resolve_seed(
     The walk starts at the referrer and may take ``steps`` steps past it; it ends at
     the first seed. Only captures that are referrers take part in the doubling; the
     mass of leaves looks its referrer's seed up once, at the end. ``captures`` is
-    read twice."""
+    read for the nodes, for the referrers, for the count of hot keys and for the last join."""
     known = _latest(captures, ["is_seed", "via"])
     referrers = captures.select(F.col("via").alias("uri")).where(F.col("uri").isNotNull()).distinct()
     nodes = known.join(referrers, "uri", "left_semi").select(

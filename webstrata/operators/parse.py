@@ -142,7 +142,7 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
         .alias("body"),
     )
 
-    df = df.select("*", M.lower_content_type_header(c("_head")).alias("_ct"))
+    df = df.select("*", M.content_type_header(c("_head")).alias("_ct"))
     df = df.select("*", M.normalize_mime(c("_ct")).alias("_type"))
     df = df.select("*", F.when(c("_web") & M.sniffable(c("_type")), M.declaration(B.view(c("body")))).alias("_found"))
     # What the declaration says, with an empty string for "says nothing".

@@ -81,8 +81,8 @@ def body_text() -> Column:
 def crawl(pages: DataFrame, lineage: bool = False) -> DataFrame:
     """Captures ready to be written: ``page_id``, field columns, request, response.
 
-    With ``lineage`` referrer and seed URL are looked up by page number; the joins
-    carry only numbers and URLs."""
+    With ``lineage`` referrer and seed URL are looked up by page number; the other
+    side of the joins carries only numbers and URLs."""
     fields = page_fields()
     reason = F.when(F.col("status") == 404, "Not Found").when(F.col("status") == 301, "Moved Permanently").otherwise("OK")
     header = content_type_header()

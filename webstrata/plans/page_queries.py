@@ -333,7 +333,7 @@ def split_body(spark, sf_dir):
 def header_content_type(spark, sf_dir):
     head = B.view(c("response"))
     df = crawl(read_pages(spark, sf_dir)).select("page_id", F.substring_index(head, "\r\n\r\n", 1).alias("head"))
-    return df.select("page_id", F.trim(M.content_type_header(c("head"))).alias("header"))
+    return df.select("page_id", F.btrim(M.content_type_header(c("head")), F.lit(" \r")).alias("header"))
 
 
 @_query

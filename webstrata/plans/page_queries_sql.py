@@ -7,7 +7,7 @@ as ``page_crawl`` defines them.
 from __future__ import annotations
 
 from ..functions.urls import DEFAULT_PAGE_TYPES, DEFAULT_PAGES
-from ..operators.filters import MEDIA_EXTENSIONS
+from ..operators.filters import MEDIA_EXTENSIONS, URL_REJECT
 from ..schema import BAD_HEADER, TRUNCATED, UNWRITTEN_SIZE, VERSION
 from .page_crawl import META, ODD_LINKS, XML
 from .page_queries import LABELS, PHRASES
@@ -246,7 +246,7 @@ ORACLES: dict[str, str] = {
     ),
     "filter_url_reject": _from_crawl(
         f"SELECT * FROM (SELECT page_id, {_ODD_URL} AS url FROM cap)"
-        " WHERE NOT regexp_matches(url, '^((dns:.*)|(.*(robots.txt|css|js)$))')"
+        f" WHERE NOT regexp_matches(url, {_quoted(URL_REJECT)})"
     ),
     "filter_media": _from_crawl(
         f"SELECT * FROM (SELECT page_id, {_ODD_URL} AS url, {_ODD_EXTENSION} AS extension FROM cap)"
@@ -276,7 +276,7 @@ FROM (SELECT {_ODD_URL} AS uri, body, response FROM cap)"""
     "parse_response": _from_crawl("SELECT url AS uri, md5(response) AS response_md5, CAST(strlen(response) AS INTEGER) AS bytes FROM cap"),
     "parse_status": _from_crawl("SELECT url AS uri, status FROM cap"),
     "split_body": _from_crawl("SELECT url AS uri, md5(body) AS body_md5, CAST(strlen(body) AS INTEGER) AS bytes FROM cap"),
-    "header_content_type": _from_crawl("SELECT page_id, header FROM cap"),
+    "header_content_type": _from_crawl("SELECT page_id, lower(header) AS header FROM cap"),
     "normalize_mime": _from_crawl("SELECT page_id, content_type FROM cap"),
     "mime_params_charset": _from_crawl("SELECT page_id, CASE WHEN page_id % 5 < 3 THEN charset END AS charset FROM cap"),
     "clean_charset": f"SELECT page_id, [{', '.join(_quoted(x) for x in _CLEAN)}][page_id % {len(LABELS)} + 1] AS charset FROM pages",

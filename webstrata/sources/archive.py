@@ -98,7 +98,9 @@ def scan_multi(spark: SparkSession, paths: Iterable[str], skip_unfinished: bool
 def _compression(kind: str, spark: SparkSession) -> dict[str, str]:
     kind = kind.upper()
     if kind == "DEFAULT":
-        kind = spark.conf.get("spark.hadoop.io.seqfile.compression.type", "BLOCK").upper()
+        key = "io.seqfile.compression.type"
+        of_cluster = spark.sparkContext._jsc.hadoopConfiguration().get(key)
+        kind = (spark.conf.get(f"spark.hadoop.{key}", None) or of_cluster or "BLOCK").upper()
     if kind == "RECORD":
         raise ValueError("RECORD compression is refused by the binary output format: use BLOCK or NONE")
     if kind not in ("NONE", "BLOCK"):
