@@ -58,7 +58,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sys.argv[1])
     bad = 0
-    for name in sys.argv[2:] or sorted(entry.queries()):
+    for name in sys.argv[2:] or sorted(entry.oracle_sql()):
         start = time.time()
         try:
             problem = compare(spark, con, sys.argv[1], name)
