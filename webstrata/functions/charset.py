@@ -90,7 +90,8 @@ def _decoder():
     def decode_batch(data: pd.Series, name: pd.Series) -> pd.Series:
         return pd.Series([None if b is None or n is None else text(bytes(b), n) for b, n in zip(data, name)], dtype="object")
 
-    return F.pandas_udf(decode_batch, "string")
+    # Not pushed below: a filter on the text stays above, and does not repeat the table of labels for each use.
+    return F.pandas_udf(decode_batch, "string").asNondeterministic()
 
 
 def decode(binary: Column, name: Column) -> Column:
