@@ -284,6 +284,26 @@ def test_surrogates_that_collide_are_drawn_again(spark):
     assert len(drawn) == 39 == len({(r.kind, r.new) for r in drawn}) and not {r.new for r in drawn} & {r.norm for r in drawn}
 
 
+def test_more_entities_than_surrogates_of_their_form(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAME_FORM", 2, raising=False)  # fewer rounds; with the given number it takes two minutes
+    names = [("name", f"{a}{b} {surname}") for surname in ("смирнов", "smith") for a in "абвгдежзик" for b in "лмнопрс"]
+    secrets = [("secret", f"{i:04d}") for i in range(6000)]
+    addresses = [("email", f"{c}@one.example") for c in "abcdefghijklmnopqrstuvwxyz"]
+    table = pii.surrogate_table(spark.createDataFrame(names + secrets + addresses, "kind string, norm string"), "key")
+    titles = "CASE WHEN kind = 'name' THEN array('Dr ', 'Mr ', 'Mrs ') ELSE array('') END"
+    drawn = pii.with_surrogates(table.selectExpr("*", f"explode({titles}) AS t").selectExpr("*", "t || norm AS entity"), "key").collect()
+    for title in ("Dr ", "Mr ", "Mrs ", ""):
+        new = [(r.kind, r.new) for r in drawn if r.t == title]
+        assert len(set(new)) == len(new) == (140 if title else 6026)
+    assert not {r.new for r in drawn} & {r.norm for r in drawn}
+
+
+def test_a_form_without_room_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 1)
+    with pytest.raises(ValueError, match="'secret': "):
+        pii.surrogate_table(spark.createDataFrame([("secret", f"{i:04d}") for i in range(6000)], "kind string, norm string"), "key")
+
+
 def test_sharding(spark, docs, texts, empty, tmp_path):
     rows = sharding.shard_documents(docs, 4, str(tmp_path / "map")).collect()
     assert sorted((str(r.doc_id), r["size"], r.text_crc32) for r in rows) == sorted(

@@ -9,9 +9,13 @@ from ..sources.scratch import materialize
 
 #: The key of the test and bench queries. A job on real data passes its own and keeps it secret.
 EXAMPLE_KEY = "example key"
-#: Rounds of drawing anew for entities whose surrogates collide. What still collides then (its kind has more
-#: entities than possible surrogates) keeps its last one.
-MOST_ROUNDS = 32
+#: Draws of an entity, as long as its surrogate collides, that keep its whole form. Later ones are out of a larger
+#: space: surnames drawn for the one person and longer, eight more digits behind secrets and local parts, phone
+#: numbers filled up to ten digits.
+SAME_FORM = 32
+#: Rounds of drawing anew. What still collides then has a form without room for so many entities (about as many as
+#: there are numbers of its length), which is an error.
+MOST_ROUNDS = 128
 
 #: Titles that make what follows a person's name, by gender. Fixed values.
 TITLES = {
@@ -137,9 +141,12 @@ def _gender() -> str:
 
 def _person() -> str:
     """Title kept, a first name of the same gender and script, and a drawn surname that follows the surname."""
-    # A full name that is drawn again gets another first name at first, so that the surname stays that of relatives.
-    turn = "CASE WHEN size(names) > 1 AND i > 0 THEN int(attempt / 8) ELSE attempt END"
-    seeds = f"transform(names, (n, i) -> struct(n AS name, sha2(concat_ws('|', secret, 'name', lower(n), {turn}), 256) AS s))"
+    # A full name that is drawn again gets another first name at first, so that the surname stays that of relatives;
+    # there are not enough first names for more than some, so the surname is that of the person alone in the end.
+    wide = f"attempt >= {SAME_FORM}"
+    turn = f"CASE WHEN size(names) > 1 AND i > 0 AND NOT {wide} THEN int(attempt / 8) ELSE attempt END"
+    of = f"CASE WHEN {wide} THEN concat_ws(' ', norm, i) ELSE lower(n) END"
+    seeds = f"transform(names, (n, i) -> struct(n AS name, sha2(concat_ws('|', secret, 'name', {of}, {turn}), 256) AS s))"
     first = " ".join(
         f"WHEN gender = '{g}' AND cyrillic = {str(script == 'cyrillic').lower()} THEN "
         f"element_at({_names(g, script)}, {_number('x.s', '0')} % {len(FIRST_NAMES[g, script])} + 1)"
@@ -151,7 +158,7 @@ def _person() -> str:
             f"substring('{opens}', {_number('x.s', '2 * k + 1')} % {len(opens)} + 1, 1) || "
             f"substring('{vowels}', {_number('x.s', '2 * k + 2')} % {len(vowels)} + 1, 1)"
         )
-        return f"initcap(array_join(transform(sequence(0, 3), k -> {pair}), ''))"
+        return f"initcap(array_join(transform(sequence(0, CASE WHEN {wide} THEN 4 ELSE 3 END), k -> {pair}), ''))"
 
     last = f"CASE WHEN cyrillic THEN {surname('бвгдклмнпрст', 'аеиоу')} ELSE {surname('bdfgklmnprstvw', 'aeiou')} END"
     each = f"CASE WHEN i = 0 AND size(names) > 1 THEN CASE {first} END ELSE {last} END"
@@ -161,7 +168,7 @@ def _person() -> str:
 def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """Add ``new``, a replacement of the same kind and form, to rows of ``kind``, ``entity``, ``norm``, ``attempt``.
 
-    It depends on the key, the entity and ``attempt`` alone. Steps are projections of their own, so that what several
+    It depends on the key, the entity and ``attempt`` alone; from ``SAME_FORM`` on it may be longer. Steps are projections of their own, so that what several
     kinds need is computed once.
 
     Addresses: local part by the whole address, domain by the domain alone (colleagues stay colleagues), last label
@@ -179,15 +186,17 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     octets = " || '.' || ".join(f"({_number('stream', str(j), 4)} % 254 + 1)" for j in range(4))
     card = f"""array_join(transform(split(entity, ''), (c, i) -> CASE WHEN c BETWEEN '0' AND '9'
         THEN substring(digits, length(digits) - {_behind('entity')}, 1) ELSE c END), '')"""
+    more = "lpad(right(conv(left(sha2(concat_ws('|', secret, kind, norm, attempt, 'more'), 256), 12), 16, 10), 8), 8, '0')"
     steps = entities.withColumn("secret", F.lit(key))
     steps = steps.selectExpr(
         *columns,
         "secret",
         f"{_stream('secret, kind, norm, attempt', 'length(norm)')} AS stream",
+        f"CASE WHEN attempt < {SAME_FORM} THEN '' ELSE {more} END AS more",
         "CASE WHEN kind = 'email' THEN lower(substring_index(entity, '@', -1)) END AS domain",
         f"CASE WHEN kind = 'name' THEN regexp_extract(entity, {title}, 0) ELSE '' END AS title",
         f"CASE WHEN kind = 'name' THEN {_gender()} END AS gender",
-        rf"entity RLIKE {_quoted(_CYRILLIC)} AS cyrillic",
+        rf"norm RLIKE {_quoted(_CYRILLIC)} AS cyrillic",
     )
     steps = steps.selectExpr(
         "*",
@@ -197,17 +206,17 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     )
     check = f"pmod({_luhn('norm')} - {_luhn('body || 0')}, 10)"
     steps = steps.selectExpr("*", f"CASE WHEN kind = 'card' THEN body || {check} END AS digits")
-    email = f"""{_exchanged("substring_index(entity, '@', 1)", 'stream', every)} || '@' ||
+    email = f"""{_exchanged("substring_index(entity, '@', 1)", 'stream', every)} || more || '@' ||
         {_exchanged(f"left(substring_index(entity, '@', -1), length(domain) - {top})", 'domain_stream', every)} ||
         substring_index(entity, '.', -1)"""
     value = f"""CASE WHEN norm RLIKE '^[0-9a-f]+$' THEN {_exchanged('norm', 'stream', (_HEX, _DIGITS))}
         ELSE {_exchanged('norm', 'stream', every)} END"""
     new = f"""CASE kind
         WHEN 'email' THEN {email}
-        WHEN 'phone' THEN {phone}
+        WHEN 'phone' THEN {phone} || left(more, greatest(0, 10 - length(norm)))
         WHEN 'ip' THEN {octets}
         WHEN 'card' THEN {card}
-        WHEN 'secret' THEN left(entity, length(entity) - length(norm)) || {value}
+        WHEN 'secret' THEN left(entity, length(entity) - length(norm)) || {value} || more
         WHEN 'name' THEN {_person()}
         WHEN 'key' THEN left(entity, 4) || {_exchanged('substring(entity, 5)', 'stream', every)}
         WHEN 'iban' THEN left(entity, 2) || {_exchanged('substring(entity, 3)', 'stream', every)}
@@ -219,25 +228,29 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, norm, attempt) for every entity of ``entities`` (``kind``, ``norm``), so that no two share a surrogate.
 
     A surrogate that two entities of a kind would share, or that is itself an entity of the texts, is drawn again
-    for all but the smallest."""
+    for all but the smallest. Names are looked at with a title of each gender, as each has first names of its own.
+    Raises ``ValueError`` if some still collide after ``MOST_ROUNDS``."""
     known = materialize(entities.distinct(), "entities")
     taken = known.select("kind", F.col("norm").alias("drawn"))
     state = known.withColumn("attempt", F.lit(0))
+    titled = ", ".join(f"concat({_quoted(line[0])}, ' ', norm)" for line in TITLES.values())
+    ways = f"posexplode(CASE WHEN kind = 'name' THEN array({titled}) ELSE array(norm) END) AS (way, entity)"
     for _ in range(MOST_ROUNDS):
-        drawn = with_surrogates(state.withColumn("entity", F.col("norm")), key)
-        drawn = materialize(drawn.selectExpr("kind", "norm", "attempt", f"{_normal('new')} AS drawn"), "surrogates")
-        shared = drawn.groupBy("kind", "drawn").agg(F.min("norm").alias("first"), F.count("*").alias("n")).where("n > 1")
+        drawn = with_surrogates(state.selectExpr("*", ways), key)
+        drawn = materialize(drawn.selectExpr("kind", "norm", "attempt", "way", f"{_normal('new')} AS drawn"), "surrogates")
+        shared = drawn.groupBy("kind", "drawn").agg(F.min("norm").alias("first"), F.max("norm").alias("last")).where("first != last")
         again = (
             drawn.join(shared, ["kind", "drawn"]).where("norm != first").select("kind", "norm")
             .unionByName(drawn.join(taken, ["kind", "drawn"], "left_semi").select("kind", "norm"))
             .distinct()
         )
         again = materialize(again.withColumn("again", F.lit(1)), "collisions")
-        state = drawn.drop("drawn")
         if again.isEmpty():
-            break
-        state = state.join(again, ["kind", "norm"], "left").selectExpr("kind", "norm", "attempt + coalesce(again, 0) AS attempt")
-    return state
+            return state
+        state = drawn.where("way = 0").select("kind", "norm", "attempt").join(again, ["kind", "norm"], "left")
+        state = state.selectExpr("kind", "norm", "attempt + coalesce(again, 0) AS attempt")
+    left = {r.kind: r["count"] for r in again.groupBy("kind").count().collect()}
+    raise ValueError(f"entities without a surrogate of their own after {MOST_ROUNDS} rounds, by kind: {left}")
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | None = "n_entities") -> DataFrame:
