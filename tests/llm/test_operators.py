@@ -6,6 +6,7 @@ import os
 import random
 import re
 import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -277,6 +278,30 @@ def test_every_pattern_is_found_in_a_text_of_its_own(spark):
         assert (r.found, r["is"]) == ([r.entity], r.kind)
 
 
+def test_letters_of_all_scripts_are_exchanged(spark):
+    locals_ = {
+        "山田太郎": "Han", "محمدعلي": "Arabic", "שלוםכהן": "Hebrew", "김민수박": "Hangul", "कमलनयन": "Devanagari", "สมชาย": "Thai", "さくらはな": "Hiragana",
+        "サクラハナ": "Katakana", "Ёлкин": "Cyrillic", "Νικόλας": "Greek", "Արամյան": "Armenian", "ăłşœŕ": "Latin", "ⴰⵎⴰⵣⵉⵖ": "Latin", "٣٤٥٦": "", "ßßßß": "Latin",
+    }
+    secrets = ["密码密码", "!!!!", "😀😀😀😀", "$$$1", "क्षि", "ab-cd"]
+    rows = [f"{x}@例え.example.jp" for x in locals_] + [f"token={x}" for x in secrets] + ["Mr Παύλου", "Mrs Ελένη Παππά", "Dr Иван Петров", "Mr Արամ"]
+    out = pii.pseudonymize(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), "key")
+    news = {rows[r.doc_id]: r.text for r in out.collect() if r["n_entities"] == 1}
+    assert news.keys() == set(rows) and len(set(news.values())) == len(rows)
+    for x, script in locals_.items():
+        local, domain = news[f"{x}@例え.example.jp"].split("@")
+        assert local != x and len(local) == len(x) and not domain.startswith("例え.")
+        assert all(script.upper() in unicodedata.name(c) or script == "Han" and "CJK" in unicodedata.name(c) for c in local)
+    for x in secrets:
+        new = news[f"token={x}"].removeprefix("token=")
+        assert len(new) == len(x) and new != x and not set(new) & set("😀्ि")
+    assert re.fullmatch(r"token=[a-z]{2}-[a-z]{2}", news["token=ab-cd"]) and re.fullmatch("Mr [Α-Ωα-ω]+", news["Mr Παύλου"])
+    first, last = news["Mrs Ελένη Παππά"].removeprefix("Mrs ").split()
+    assert first in pii.FIRST_NAMES["f", "greek"] and re.fullmatch("[Α-Ωα-ω]+", last) and last != "Παππά"
+    assert re.fullmatch("Dr [А-Яа-я]+ [А-Яа-я]+", news["Dr Иван Петров"]) and re.fullmatch("Mr [A-Za-z]+", news["Mr Արամ"])
+    assert all(len(a) == len(b) and a.upper() == b for a, b in zip(pii.ALPHABETS[::2], pii.ALPHABETS[1::2]))
+
+
 def test_surrogates_that_collide_are_drawn_again(spark):
     entities = spark.createDataFrame([("ssn", f"{i:09d}") for i in range(3)] + [("secret", c + d) for c in "ghijkl" for d in "ghijkl"], "kind string, norm string")
     table = pii.surrogate_table(entities.unionByName(entities), "key")

@@ -33,17 +33,40 @@ FIRST_NAMES = {
     ("f", "cyrillic"): ("Анна", "Елена", "Ирина", "Мария", "Наталья", "Ольга", "Светлана", "Татьяна"),
     ("m", "cyrillic"): ("Алексей", "Андрей", "Дмитрий", "Иван", "Михаил", "Николай", "Павел", "Сергей"),
     ("n", "cyrillic"): ("Саша", "Женя", "Валя", "Слава"),
+    ("f", "greek"): ("Άννα", "Ελένη", "Ειρήνη", "Μαρία", "Κατερίνα", "Όλγα", "Σοφία", "Δήμητρα"),
+    ("m", "greek"): ("Ανδρέας", "Νίκος", "Δημήτρης", "Γιάννης", "Μιχάλης", "Γιώργος", "Παύλος", "Κώστας"),
+    ("n", "greek"): ("Φώτη", "Αργύρη", "Αλέξη", "Χάρη"),
 }
 #: Alphabets within which letters are exchanged.
 ALPHABETS = (
     "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
     "αβγδεζηθικλμνξοπρστυφχψω", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
-    "äöüßàâçèéêëîïôùûñáíóú", "ÄÖÜÀÂÇÈÉÊËÎÏÔÙÛÑÁÍÓÚ",
+    "äöüàâçèéêëîïôùûñáíóú", "ÄÖÜÀÂÇÈÉÊËÎÏÔÙÛÑÁÍÓÚ",
 )
 _HEX, _DIGITS = "abcdef", "0123456789"
+#: Alphabets that replace letters and digits not listed above, by what matches them; the first counts, and the last
+#: two are for scripts that none is given for. Small letters stay small where the script has cases. Fixed values.
+SCRIPTS = {
+    r"[\p{IsCyrillic}&&\p{Lu}]": ALPHABETS[3], r"[\p{IsCyrillic}&&\p{L}]": ALPHABETS[2],
+    r"[\p{IsGreek}&&\p{Lu}]": ALPHABETS[5], r"[\p{IsGreek}&&\p{L}]": ALPHABETS[4],
+    r"[\p{IsArmenian}&&\p{Lu}]": "ԱԲԳԴԵԶԷԸԹԺԻԼԽԾԿՀՁՂՃՄՅՆՇՈՉՊՋՌՍՎՏՐՑՓՔՕՖ",
+    r"[\p{IsArmenian}&&\p{L}]": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցփքօֆ",
+    r"[\p{IsHebrew}&&\p{L}]": "אבגדהוזחטיכלמנסעפצקרשת", r"[\p{IsArabic}&&\p{L}]": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي",
+    r"[\p{IsDevanagari}&&\p{L}]": "अआइईउऊएऐओऔकखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह",
+    r"[\p{IsBengali}&&\p{L}]": "অআইঈউঊএঐওঔকখগঘচছজঝটঠডঢণতথদধনপফবভমযরলশষসহ",
+    r"[\p{IsThai}&&\p{L}]": "กขคงจฉชซญณดตถทธนบปผฝพฟภมยรลวศษสหอฮ", r"[\p{IsGeorgian}&&\p{L}]": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ",
+    r"[\p{IsHiragana}&&\p{L}]": "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ",
+    r"[\p{IsKatakana}&&\p{L}]": "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ",
+    r"[\p{IsHangul}&&\p{L}]": "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누두루무부수우주추쿠투푸후",
+    r"[\p{IsHan}&&\p{L}]": "一丁七万三上下不中主久九二五人今代以会作使來信元光入八公六分力北十千南原口古向同名国土在地城大天太夫女子安家小山工市平年心文方日明月木本村東林正水永江海清火王田白石立竹米花草見言谷車金長門青面音風高",
+    r"\p{N}": _DIGITS, r"\p{Lu}": ALPHABETS[1], r"\p{L}": ALPHABETS[0],
+}
+#: What replaces the other signs of a secret: those of ASCII if it has hardly anything else, and all that are not.
+_MARKS = "!#$%&*+-?@^_~"
+_OTHERS = {r"[^\x00-\x7F]": ALPHABETS[0]}
 
-_SIGN, _NO_SIGN, _CYRILLIC = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]", r"\p{IsCyrillic}"
+_SIGN, _NO_SIGN, _CYRILLIC, _GREEK = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]", r"\p{IsCyrillic}", r"\p{IsGreek}"
 _ALL_TITLES = "|".join(t for line in TITLES.values() for t in line)
 #: What is looked for, by kind; the first that matches at a place counts. Repeats never give back, or are bounded.
 PATTERNS = {
@@ -115,11 +138,14 @@ def _behind(text: str) -> str:
     return f"length(regexp_replace(substring({text}, i + 2), {_quoted(_NO_SIGN)}, ''))"
 
 
-def _exchanged(text: str, stream: str, alphabets: tuple[str, ...]) -> str:
-    """Every letter and digit exchanged within its alphabet, case and punctuation kept."""
+def _exchanged(text: str, stream: str, alphabets: tuple[str, ...], others: dict[str, str] = {}, at: str | None = None) -> str:
+    """Every letter and digit exchanged within its alphabet or, if none lists it, for one of its script; case and
+    punctuation kept. ``others`` are patterns of more signs to exchange; ``at`` is the place in the stream."""
     listed = f"array({', '.join(map(_quoted, alphabets))})"
-    drawn = f"substring(a, {_number(stream, _behind(text))} % length(a) + 1, 1)"
-    one = f"coalesce(get(transform(filter({listed}, a -> instr(a, c) > 0), a -> {drawn}), 0), c)"
+    cases = " ".join(f"WHEN c RLIKE {_quoted(p)} THEN {_quoted(a)}" for p, a in {**SCRIPTS, **others}.items())
+    own = f"coalesce(get(filter({listed}, a -> instr(a, c) > 0), 0), CASE {cases} END)"
+    drawn = f"substring(a, {_number(stream, at or _behind(text))} % length(a) + 1, 1)"
+    one = f"get(transform(array({own}), a -> coalesce({drawn}, c)), 0)"
     return f"array_join(transform(split({text}, ''), (c, i) -> {one}), '')"
 
 
@@ -148,7 +174,7 @@ def _person() -> str:
     of = f"CASE WHEN {wide} THEN concat_ws(' ', norm, i) ELSE lower(n) END"
     seeds = f"transform(names, (n, i) -> struct(n AS name, sha2(concat_ws('|', secret, 'name', {of}, {turn}), 256) AS s))"
     first = " ".join(
-        f"WHEN gender = '{g}' AND cyrillic = {str(script == 'cyrillic').lower()} THEN "
+        f"WHEN gender = '{g}' AND script = '{script}' THEN "
         f"element_at({_names(g, script)}, {_number('x.s', '0')} % {len(FIRST_NAMES[g, script])} + 1)"
         for g, script in FIRST_NAMES
     )
@@ -160,7 +186,8 @@ def _person() -> str:
         )
         return f"initcap(array_join(transform(sequence(0, CASE WHEN {wide} THEN 4 ELSE 3 END), k -> {pair}), ''))"
 
-    last = f"CASE WHEN cyrillic THEN {surname('бвгдклмнпрст', 'аеиоу')} ELSE {surname('bdfgklmnprstvw', 'aeiou')} END"
+    last = f"""CASE script WHEN 'cyrillic' THEN {surname('бвгдклмнпрст', 'аеиоу')}
+        WHEN 'greek' THEN {surname('βγδζκλμνπρτφ', 'αεηιου')} ELSE {surname('bdfgklmnprstvw', 'aeiou')} END"""
     each = f"CASE WHEN i = 0 AND size(names) > 1 THEN CASE {first} END ELSE {last} END"
     return f"title || array_join(transform({seeds}, (x, i) -> {each}), ' ')"
 
@@ -172,8 +199,10 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
     kinds need is computed once.
 
     Addresses: local part by the whole address, domain by the domain alone (colleagues stay colleagues), last label
-    kept. Phone numbers: country code and form kept, no area or exchange code from 0 or 1. Cards: first digit and
-    grouping kept, valid exactly if the original was. Keys and account numbers: prefix kept. Secrets: label kept."""
+    kept. Letters: replaced by some of their script (``SCRIPTS``), by Latin ones if it is not listed; names are Latin,
+    Cyrillic or Greek, and Latin for all other scripts. Phone numbers: country code and form kept, no area or exchange code from 0 or 1. Cards: first digit and
+    grouping kept, valid exactly if the original was. Keys and account numbers: prefix kept. Secrets: label kept, and
+    punctuation if there are four letters and digits at least."""
     columns = entities.columns
     every = (*ALPHABETS, _DIGITS)
     by_domain = _stream("secret, 'domain', domain", "length(domain)")
@@ -196,7 +225,7 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         "CASE WHEN kind = 'email' THEN lower(substring_index(entity, '@', -1)) END AS domain",
         f"CASE WHEN kind = 'name' THEN regexp_extract(entity, {title}, 0) ELSE '' END AS title",
         f"CASE WHEN kind = 'name' THEN {_gender()} END AS gender",
-        rf"norm RLIKE {_quoted(_CYRILLIC)} AS cyrillic",
+        rf"CASE WHEN norm RLIKE {_quoted(_CYRILLIC)} THEN 'cyrillic' WHEN norm RLIKE {_quoted(_GREEK)} THEN 'greek' ELSE 'latin' END AS script",
     )
     steps = steps.selectExpr(
         "*",
@@ -210,7 +239,9 @@ def with_surrogates(entities: DataFrame, key: str) -> DataFrame:
         {_exchanged(f"left(substring_index(entity, '@', -1), length(domain) - {top})", 'domain_stream', every)} ||
         substring_index(entity, '.', -1)"""
     value = f"""CASE WHEN norm RLIKE '^[0-9a-f]+$' THEN {_exchanged('norm', 'stream', (_HEX, _DIGITS))}
-        ELSE {_exchanged('norm', 'stream', every)} END"""
+        WHEN length(regexp_replace(norm, {_quoted(_NO_SIGN)}, '')) < 4
+        THEN {_exchanged('norm', 'stream', (*every, _MARKS), _OTHERS | {'.': _MARKS}, 'i')}
+        ELSE {_exchanged('norm', 'stream', every, _OTHERS)} END"""
     new = f"""CASE kind
         WHEN 'email' THEN {email}
         WHEN 'phone' THEN {phone} || left(more, greatest(0, 10 - length(norm)))
