@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -68,6 +69,25 @@ def test_pretokens_equal_the_tokenizer():
         assert ids[first[k] : first[k + 1]].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_are_recognised(tmp_path):
+    files = [TOKENIZER, str(tmp_path / "plain.json"), str(tmp_path / "strips.json")]
+    more = tokenizers.Tokenizer.from_file(TOKENIZER)
+    more.add_special_tokens(["<|end", "<|endof", "two words"])
+    more.save(files[1])
+    more.add_special_tokens([tokenizers.AddedToken("<s>", lstrip=True, rstrip=True), tokenizers.AddedToken("ab", single_word=True)])
+    more.save(files[2])
+    signs = ["x", " ", "  ", "\n", "'s", "é", "<|endoftext|>", "<|endof", "<|end", "two words", "<s>", "ab", "|>"]
+    many = ["x <|endoftext|> y", "", "<|endoftext|>", "plain"] + ["".join(random.choices(signs, k=random.randint(0, 9))) for _ in range(2000)]
+    for path in files:
+        fresh = tokenizers.Tokenizer.from_file(path)
+        ids, first = pretokens.Encoder(path).encode([t.encode() for t in many])
+        assert ids.dtype == np.uint32 and len(first) == len(many) + 1
+        for k, text in enumerate(many):
+            assert ids[first[k] : first[k + 1]].tolist() == fresh.encode(text, add_special_tokens=False).ids, text
+        if path == TOKENIZER:
+            assert ids[first[0] : first[1]].tolist() == [87, 220, 50256, 331]
+
+
 def test_cut():
     assert packing.cut(3, 4) == [(0, 3)] and packing.cut(8, 4) == [(0, 4), (4, 4)]
     assert packing.cut(10, 4) == [(0, 2), (2, 4), (6, 4)]

@@ -3,10 +3,12 @@
 The pre-tokens are those of the byte-level pattern (contractions, and runs of letters, numbers, others and
 white space, with a leading space): their borders are found on arrays of character classes. Since BPE never
 merges across a border, the ids of a text are those of its pre-tokens in turn, and these repeat: each is
-encoded by the tokenizer's model when first met and then looked up."""
+encoded by the tokenizer's model when first met and then looked up. Texts are split at the file's added tokens
+before, as the tokenizer does."""
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 
@@ -85,7 +87,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content.encode(): i for i, token in added.items()}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.split = re.compile(b"(" + b"|".join(map(re.escape, longest)) + b")").split if longest else None
+        #: Tokens that take blanks around them, or whole words only, are left to the tokenizer.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
         self._forget()
 
     def _forget(self) -> None:
@@ -112,6 +119,32 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in turn, and where those of each text begin (and the last end)."""
+        if not any(token in text for token in self.added for text in texts):
+            return self._encode_plain(texts)
+        pieces: list[bytes] = []
+        behind: list[int] = []  # the number of pieces before each id of an added token
+        ids: list[int] = []
+        begin = [(0, 0)]  # pieces and such ids before each text
+        for text in texts:
+            parts = self.split(text)
+            if self.plain or len(parts) == 1:
+                pieces.append(parts[0])
+                for token, part in zip(parts[1::2], parts[2::2]):
+                    behind.append(len(pieces))
+                    ids.append(self.added[token])
+                    pieces.append(part)
+            else:
+                pieces.append(b"")
+                whole = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                behind += [len(pieces)] * len(whole)
+                ids += whole
+            begin.append((len(pieces), len(ids)))
+        out, first = self._encode_plain(pieces)
+        at = np.array(begin)
+        return np.insert(out, first[behind], ids), first[at[:, 0]] + at[:, 1]
+
+    def _encode_plain(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         data = b"".join(texts)
         sizes = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         if not data:
