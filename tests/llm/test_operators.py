@@ -220,6 +220,19 @@ def test_decontamination(spark, texts, docs, empty):
     assert decontamination.items_digest([]) == hashlib.sha256(b"").hexdigest()
 
 
+def test_a_longer_window_inside_repeats_of_a_shorter_one(spark):
+    short = "a b c d"
+    text = " ".join([short] * 6 + ["end"])
+    items = [(1, short), (2, " ".join([short] * 3 + ["a"]))]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = decontamination.find_benchmark(docs, spark.createDataFrame(items, "item_id long, text string"), ["doc_id"]).first()
+    assert (row["n_words"], row.n_hit, row["items"]) == (25, 24, ["1", "2"])
+    longer = [(1, short), (2, " ".join(["c d", short, "a b"]))]  # occurs once, from the third word on
+    docs = spark.createDataFrame([(1, " ".join([short] * 3))], "doc_id long, text string")
+    row = decontamination.find_benchmark(docs, spark.createDataFrame(longer, "item_id long, text string"), ["doc_id"]).first()
+    assert (row.n_hit, row["items"]) == (12, ["1", "2"])
+
+
 def test_toxicity(spark):
     insults = ["idiot", "loser", "scum"]
     rows = [(i, prose(30) + (f" {random.choice(insults)}" if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(400)]

@@ -106,7 +106,7 @@ def _matches(found: W.Words, tables: list[Tables], n_texts: int) -> tuple[list[l
             for begin, window in table.search(found, first, last, keys, shifts):
                 begin -= first
                 if own and own[-1][0] <= begin <= own[-1][1]:
-                    own[-1] = (own[-1][0], begin + table.length)
+                    own[-1] = (own[-1][0], max(own[-1][1], begin + table.length))
                 else:
                     own.append((begin, begin + table.length))
                 items[k] |= table.windows[window]
