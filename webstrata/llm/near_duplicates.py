@@ -19,7 +19,8 @@ from .components import components
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Sketches of a document. Two documents of similarity s agree in one with about s^PICKED, so at 0.8 they
-#: share none of 16 in one of 100,000 cases.
+#: share none of 16 in one of 100,000 cases. Short texts miss more often: 4 against 5 shingles
+#: agree in one with 0.4, so in none in one of 3,500 cases.
 SKETCHES = 16
 #: Minimum shingles kept in each sketch, in text order.
 PICKED = 3
