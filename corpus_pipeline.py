@@ -46,7 +46,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Neither a fitted classifier nor a tokenizer can be written in SQL; tests hold the stages against brute force.
+#: Neither a fitted classifier nor a tokenizer can be written in SQL; tests hold near duplicates, decontamination and
+#: packing against brute force, toxicity against its operator, and PII by the rows it keeps.
 ORACLE_SQL = None
 
 
