@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, near_duplicates, packing, pii, sharding, topk, toxicity, url_filters, warc
+from . import (
+    chat, decontamination, filter_audit, hard_negatives, line_dedup, near_duplicates, packing, pii, sharding, topk, toxicity,
+    url_filters, warc,
+)
 
 TOP = 20
 SHARDS = 8
@@ -88,9 +91,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(table(spark, sf_dir, "documents"), pii.EXAMPLE_KEY)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    turned = F.when(vec_id % 7 == 0, F.pmod(label + 1, F.lit(10))).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", turned)
+    return hard_negatives.hard_negatives(vectors, vec_id % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_topk, op2_url_filters, op3_sharding, op4_near_duplicates, op5_warc, op6_decontamination, op7_toxicity, op8_packing,
-    op9_chat, op10_pii,
+    op9_chat, op10_pii, op11_line_dedup, op12_filter_audit, op13_hard_negatives,
 )}
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -148,4 +167,47 @@ ORACLES = {
             ['<|im_start|>' || replace(x.r, '<|', '< |') || chr(10) || replace(x.t, '<|', '< |') || '<|im_end|>' || chr(10)
              FOR x IN l[segment * {chat.TURNS_A_SEGMENT} + 1:(segment + 1) * {chat.TURNS_A_SEGMENT}]], '') AS text
         FROM s""",
+    "op11_line_dedup": r"""
+        WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place FROM documents),
+        k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        f AS (SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        d AS (SELECT k.*, f.key IS NOT NULL AND k.doc_id <> f.last_doc AS gone FROM k LEFT JOIN f USING (key))
+        SELECT doc_id, count(*) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256 FROM d GROUP BY doc_id""",
+    "op12_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS least FROM t),
+        m AS (SELECT part, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic,
+              ['A', 'B', 'C', 'D', 'E'] AS names, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+               100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+               w.doc_id > least] AS marks FROM w LEFT JOIN labels l ON w.doc_id = l.doc_id),
+        f AS (SELECT part, good, toxic, list_filter(names, lambda x, i: marks[i]) AS fails, count(*) AS n FROM m GROUP BY ALL),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e
+              WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+        s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS own,
+              string_split(filter_order[1:step - 1], '') AS before FROM o, range(1, 6) AS r(step)),
+        r AS (SELECT part, filter_order, step, own,
+                CAST(coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND NOT list_contains(fails, own)), 0) AS BIGINT) AS kept,
+                CAST(coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, own)), 0) AS BIGINT) AS removed,
+                CAST(coalesce(sum(n) FILTER (list_has_any(fails, before) AND list_contains(fails, own)), 0) AS BIGINT) AS redundant,
+                CAST(coalesce(sum(n) FILTER (fails = [own]), 0) AS BIGINT) AS unique_fails,
+                CAST(coalesce(sum(n) FILTER (good AND NOT list_has_any(fails, before) AND list_contains(fails, own)), 0) AS BIGINT) AS good_lost,
+                CAST(coalesce(sum(n) FILTER (toxic AND NOT list_has_any(fails, before) AND list_contains(fails, own)), 0) AS BIGINT) AS toxic_lost
+              FROM f, s GROUP BY ALL)
+        SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+                   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+              FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+              row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+              FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+        SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""",
 }
