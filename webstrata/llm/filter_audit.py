@@ -4,10 +4,14 @@ The files of a corpus come as micro-batches. Each document gets a mask of the fi
 of a document with a smaller id depends on documents still to come. So the state of each text is the smallest id so
 far and what was counted for it; when a smaller one arrives, what was counted is taken back from the part's counter of
 that mask and added to the counter of the mask with the copy filter. The stream's output are changes of counters by
-(part, mask); their sums are the counters, and all figures of the audit follow from these."""
+(part, mask); their sums are the counters, and all figures of the audit follow from these.
+
+The states of some thousand texts lie together in a bucket of the stream's state store: a call of Python for each text
+would cost more than all the rest. The number of buckets grows with the input, so that none does."""
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
@@ -29,6 +33,8 @@ COPY = BIT["E"]
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
 #: Micro-batches that the files of a corpus are dealt into.
 MICRO_BATCHES = 4
+#: Bytes of files for each bucket of text states, and the fewest buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 1024
 
 #: Limits of the filters and the signs that D looks for. Fixed values.
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_UPPER_PERCENT = 200, 50, 2
@@ -37,7 +43,7 @@ _UPPER = bytes(range(0x41, 0x5B))
 
 _ROW = "text_key binary, mask int, least_id bigint, part string, good boolean, toxic boolean, at_least bigint, above bigint, no_id bigint"
 _CHANGE = "part string, mask int, good boolean, toxic boolean, n bigint"
-_STATE = "least_id bigint, parts array<string>, good array<boolean>, toxic array<boolean>, n array<bigint>"
+_STATE = "texts binary"
 
 
 def text_mask(text: bytes) -> int:
@@ -86,8 +92,8 @@ def combine(rows: pd.DataFrame) -> pd.DataFrame:
     """One row for each text, part and label: documents at the text's smallest id here, above it, and without id."""
     least = rows.groupby("text_key")["doc_id"].transform("min")
     no_id = rows["doc_id"].isna()
-    marked = rows.assign(least_id=least, at_least=rows["doc_id"] == least, above=(rows["doc_id"] > least) & ~no_id, no_id=no_id)
-    marked = marked.astype({"at_least": bool, "above": bool}).astype({"at_least": int, "above": int, "no_id": int})
+    at_least = (rows["doc_id"] == least).fillna(False).astype(bool)
+    marked = rows.assign(least_id=least, at_least=at_least.astype(int), above=(~at_least & ~no_id).astype(int), no_id=no_id.astype(int))
     keys = ["text_key", "mask", "part", "good", "toxic"]
     counts = {"least_id": ("least_id", "first"), "at_least": ("at_least", "sum"), "above": ("above", "sum"), "no_id": ("no_id", "sum")}
     return marked.groupby(keys, sort=False, as_index=False).agg(**counts)
@@ -108,57 +114,52 @@ def _combined(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _ROW)
 
 
-class TextState:
-    """The smallest id of a text, and the documents that have it, by (part, good, toxic)."""
+class TextStates:
+    """The smallest id of each text, and how many documents have it, by (part, good, toxic)."""
 
-    def __init__(self, least_id: int | None = None, held: dict[tuple, int] | None = None):
-        self.least_id, self.held = least_id, held or {}
+    def __init__(self, texts: dict[bytes, tuple[int, dict[tuple, int]]] | None = None):
+        self.texts = texts or {}
 
-    def take(self, rows: Iterator[tuple]) -> dict[tuple, int]:
+    def take(self, rows: Iterator[tuple]) -> Counter:
         """Changes of the counters (part, mask, good, toxic) by combined rows, in any order."""
         changes: Counter = Counter()
-        for mask, least_id, part, good, toxic, at_least, above, no_id in rows:
-            kind = (part, good, toxic)
+        for text, mask, least_id, part, good, toxic, at_least, above, no_id in rows:
+            copy = mask | COPY
             changes[part, mask, good, toxic] += no_id
-            changes[part, mask | COPY, good, toxic] += above
+            changes[part, copy, good, toxic] += above
             if least_id is None:
                 continue
-            if self.least_id is None or least_id < self.least_id:
-                for (other, g, t), n in self.held.items():  # retract what stood for the smallest id so far
+            known, held = self.texts.get(text, (None, {}))
+            if known is None or least_id < known:
+                for (other, g, t), n in held.items():  # retract what stood for the smallest id so far
                     changes[other, mask, g, t] -= n
-                    changes[other, mask | COPY, g, t] += n
-                self.least_id, self.held = least_id, {}
-            if least_id > self.least_id:
-                changes[part, mask | COPY, good, toxic] += at_least
+                    changes[other, copy, g, t] += n
+                self.texts[text] = known, held = least_id, {}
+            if least_id > known:
+                changes[part, copy, good, toxic] += at_least
             elif at_least:
                 changes[part, mask, good, toxic] += at_least
-                self.held[kind] = self.held.get(kind, 0) + at_least
-        return {key: n for key, n in changes.items() if n}
+                held[part, good, toxic] = held.get((part, good, toxic), 0) + at_least
+        return changes
 
 
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.exists:
-        least_id, *columns, counts = state.get
-        own = TextState(least_id, dict(zip(zip(*columns), counts)))
-    else:
-        own = TextState()
+    own = TextStates(pickle.loads(state.get[0]) if state.exists else None)
     total: Counter = Counter()
     for frame in frames:
+        frame = frame.astype({"least_id": object})
         least = [None if pd.isna(x) else int(x) for x in frame["least_id"]]
         columns = [frame[c].tolist() for c in ("part", "good", "toxic", "at_least", "above", "no_id")]
-        total.update(own.take(zip(frame["mask"].tolist(), least, *columns)))
-    if own.least_id is not None:
-        parts, good, toxic = map(list, zip(*own.held))
-        state.update((own.least_id, parts, good, toxic, list(own.held.values())))
-    changes = [(*k, n) for k, n in total.items() if n]
-    yield pd.DataFrame(changes, columns=["part", "mask", "good", "toxic", "n"])
+        total.update(own.take(zip(map(bytes, frame["text_key"]), frame["mask"].tolist(), least, *columns)))
+    state.update((pickle.dumps(own.texts),))
+    yield pd.DataFrame([(*k, n) for k, n in total.items() if n], columns=["part", "mask", "good", "toxic", "n"])
 
 
-def _micro_batch_files(spark: SparkSession, path: str, batches: int) -> int:
-    """Files of a micro-batch; a count of the files under a path, not a list of them."""
+def _size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number of files under a path and their bytes: a summary, not a list of them."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return max(1, -(-system.getContentSummary(folder).getFileCount() // batches))
+    summary = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(folder)
+    return summary.getFileCount(), summary.getLength()
 
 
 def stream_counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: int = MICRO_BATCHES) -> DataFrame:
@@ -171,11 +172,12 @@ def stream_counters(spark: SparkSession, path: str, labels: DataFrame, micro_bat
     flags = [F.coalesce(F.max(F.col(c) == 1), F.lit(False)).alias(name) for c, name in (("quality", "good"), ("toxic", "toxic"))]
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*flags)
     known = materialize(known, "labels")
-    # a glob names a single file as well as a folder
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", _micro_batch_files(spark, path, micro_batches))
-    docs = reader.parquet(f"{path[:-1]}[{path[-1]}]")
-    rows = _combined(_labelled(_masked(docs), known))
-    changes = rows.groupBy("text_key").applyInPandasWithState(_update, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
+    files, size = _size_of(spark, path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, -(-files // micro_batches)))
+    docs = reader.parquet(f"{path[:-1]}[{path[-1]}]")  # a glob names a single file as well as a folder
+    buckets = max(LEAST_BUCKETS, size // BUCKET_BYTES)
+    rows = _combined(_labelled(_masked(docs), known)).withColumn("bucket", F.pmod(F.xxhash64("text_key"), F.lit(buckets)))
+    changes = rows.groupBy("bucket").applyInPandasWithState(_update, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
     out = fresh_dir(spark, "counter-changes")
     writer = changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_dir(spark, "audit-checkpoint"))
     writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()

@@ -104,7 +104,7 @@ class Runs:
 
     @staticmethod
     def _merged(runs: list[DataFrame]) -> DataFrame:
-        """One run out of several: a merge join of their equal buckets, without a shuffle."""
+        """One run out of several: merge joins, of which the first brings equal buckets together without a shuffle."""
         out = runs[0]
         for run in runs[1:]:
             other = run.select("line", F.col("n").alias("_n"), F.col("last_doc").alias("_last_doc"))
