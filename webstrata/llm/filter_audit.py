@@ -34,7 +34,7 @@ ORDERS = ["".join(p) for p in permutations(FILTERS)]
 #: Micro-batches that the files of a corpus are dealt into.
 MICRO_BATCHES = 4
 #: Bytes of files for each bucket of text states, and the fewest buckets.
-BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 1024
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 128
 
 #: Limits of the filters and the signs that D looks for. Fixed values.
 LEAST_WORDS, LEAST_DISTINCT_PERCENT, MOST_UPPER_PERCENT = 200, 50, 2
