@@ -31,10 +31,9 @@ def chain():
     return rows + [("p100", "p101", False, T0, 200), ("p101", "p100", False, T0, 200), ("lost", "gone", None, T0, 200)]
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
-def test_chain_and_cycle(spark, hot_rows):
+def test_chain_and_cycle(spark):
     rows = chain()
-    got = {r.uri: r.seed_url for r in resolve_seed(spark.createDataFrame(rows, SCHEMA), hot_rows=hot_rows).collect()}
+    got = {r.uri: r.seed_url for r in resolve_seed(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == brute_force(rows)
     assert [k for k in got if got[k] == "p0"] and all(got[f"p{i}"] == "p0" for i in range(1, 52))
     assert all(got[k] == "" for k in ["p0", "p52", "p59", "p100", "p101", "lost"])
@@ -47,17 +46,30 @@ def test_steps(spark):
         assert got == {f"p{i}" for i in range(1, steps + 2)}
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 50])
-def test_hub_with_most_of_the_pages(spark, hot_rows):
+@pytest.fixture
+def shuffled(spark):
+    """Joins as on large tables: none is small enough to be broadcast, and partitions are large from 20 kB on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def test_hub_with_most_of_the_pages(spark, shuffled):
     rows = [("seed", None, True, T0, 200), ("hub", "seed", False, T0, 200), ("seed2", "hub", True, T0, 404)]
     rows += [(f"a{i}", "hub", False, T0, 200) for i in range(2000)]
     rows += [(f"b{i}", f"a{i % 30}", False, T0, 200) for i in range(700)]
     rows += [(f"c{i}", f"b{i % 9}" if i % 3 else "seed2", False, T0, 200) for i in range(500)]
     rows += [(f"d{i}", None, False, T0, 200) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r.uri: r.seed_url for r in resolve_seed(df, hot_rows=hot_rows).collect()}
+    got = {r.uri: r.seed_url for r in resolve_seed(df).collect()}
     assert got == brute_force(rows)
-    out = via_join(df, ("status",), hot_rows=hot_rows)
+    out = via_join(df, ("status",))
     status = {r[0]: r[4] for r in rows}
     assert {r.uri: r.via_status for r in out.collect()} == {r[0]: status.get(r[1]) for r in rows}
 
@@ -77,19 +89,42 @@ def test_recrawls_keep_their_rows(spark):
     assert got == [("p", 0), ("p", 200), ("q", 404), ("q", 404), ("s", 0)]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 100, 1_000_000])
-def test_lookup_is_a_left_join(spark, hot_rows):
+def test_lookup_is_a_left_join(spark, shuffled):
     facts = spark.range(5000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 900).cast("string")).alias("k")
     )
     dim = spark.range(0, 900, 2).select(F.col("id").cast("string").alias("key"), (F.col("id") * 2).alias("v"))
     dim = dim.unionByName(spark.createDataFrame([("hot", 7), ("none", 8)], "key string, v long"))
-    got = lookup(facts, "k", dim, "key", hot_rows)
+    got = lookup(facts, "k", dim, "key")
     want = facts.join(dim, F.col("k") == F.col("key"), "left").drop("key")
     assert got.columns == ["id", "k", "v"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_with_most_of_the_facts_is_split(spark, shuffled):
+    facts = spark.range(0, 60_000, numPartitions=12).selectExpr("id", "if(id % 3 > 0, 'hot', cast(id as string)) k")
+    dim = spark.range(60_000).selectExpr("cast(id as string) key", "id * 2 v").unionByName(spark.createDataFrame([("hot", 7)], "key string, v long"))
+    joined = lookup(facts, "k", dim, "key")
+    assert "SortMergeJoin(skew=true)" in final_plan(joined) and joined.where("k = 'hot' AND v = 7").count() == 40_000
+
+
+def test_lineage_reads_bodies_once_and_the_rest_once(spark, tmp_path):
+    path = str(tmp_path / "captures")
+    spark.createDataFrame(chain(), SCHEMA).selectExpr("*", "repeat(uri, 100) body").write.parquet(path)
+    captures = spark.read.parquet(path)
+    resolved = resolve_seed(captures)
+    plan = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [uri") == 1  # the join with the seeds; all else reads the narrow table
+    joined = via_join(captures, ("status",))._jdf.queryExecution().executedPlan().toString()
+    read = [line for line in joined.splitlines() if "ReadSchema" in line]
+    assert len(read) == 2 and sum("body" in line.split("ReadSchema")[1] for line in read) == 1
+
+
 def test_dedupe(spark):
     rows = [
         ("u1", "http://a.com", T0),
@@ -115,3 +150,37 @@ def test_dedupe_drops_copies_before_the_shuffle(spark):
     plan = dedupe_captures(df)._jdf.queryExecution().executedPlan().toString()
     partial, final = plan.index("Partial"), plan.index("Final")
     assert "WindowGroupLimit" in plan and final < plan.index("Exchange hashpartitioning") < partial
+
+
+def recrawled(spark, tmp_path, most):
+    """Few pages of many captures, or many pages of few, as a table; with bodies that ties of URI and time tell apart."""
+    df = spark.range(2000).selectExpr(
+        "concat('u', id % 900) uri", f"concat('http://', if(id % 2 = 0, 'www.', ''), 'h', id % {most}, '.com/') url",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(id % 5) crawl_time", "cast(repeat(cast(id as string), 50) as binary) response",
+    )
+    df.unionByName(df.limit(40)).write.parquet(str(tmp_path / "t"))
+    return spark.read.parquet(str(tmp_path / "t"))
+
+
+@pytest.mark.parametrize("most", [7, 1900])
+def test_dedupe_of_a_table_fetches_bodies_last(spark, tmp_path, shuffled, most):
+    table = recrawled(spark, tmp_path, most)
+    kept = dedupe_captures(table.where("url is not null"))
+    assert kept.columns == [*table.columns, "canonical_url"]
+    rows = kept.collect()
+    by_rows = dedupe_captures(table.repartition(3))  # ranked as whole rows
+    assert sorted((r.canonical_url, r.uri, r.crawl_time) for r in rows) == sorted((r.canonical_url, r.uri, r.crawl_time) for r in by_rows.collect())
+    known = {(r.uri, r.url, r.crawl_time, bytes(r.response)) for r in table.collect()}
+    assert all((r.uri, r.url, r.crawl_time, bytes(r.response)) in known for r in rows)
+    plan = final_plan(kept)
+    assert ("LeftSemi" if most == 7 else "LeftAnti") in plan and "Window" not in plan
+
+
+def test_dedupe_ranks_narrow_rows(spark, tmp_path, monkeypatch):
+    from webstrata.operators import dedupe
+
+    ranked = []
+    monkeypatch.setattr(dedupe, "materialize", lambda df, name: (ranked.append(df), df)[1])
+    dedupe_captures(recrawled(spark, tmp_path, 7)).count()
+    plan = ranked[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "response" not in plan

@@ -1,19 +1,21 @@
 """Archives, tables, rolling files, reports and the stream."""
 
 import os
+import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from webstrata import (
     assign_files, bytes_written, frame_record, output_text, parse_records, running_bytes, scan_archive,
-    scan_documents, scan_multi, scan_pages, scan_table, sink_archive, sink_rolling, sink_table, stream_filter,
-    stream_ingest, stream_rows,
+    publish_files, scan_documents, scan_multi, scan_pages, scan_split, scan_table, sink_archive, sink_rolling, sink_split,
+    sink_table, stored_compression, stream_filter, stream_ingest, stream_rows, stream_written, write_open_files,
 )
 from webstrata.functions import bytesview as B
 from webstrata.plans.page_crawl import raw_crawl
 from webstrata.schema import MAGIC, RAW
-from webstrata.sources.archive import finished_files_glob
+from webstrata.sources.archive import archive_patterns, finished_files_glob
 
 
 @pytest.fixture(scope="module")
@@ -39,9 +41,23 @@ def test_archive_round_trip(spark, raw, tmp_path, kind):
     assert flags == (b"\x00\x00" if kind == "NONE" else b"\x01\x01")
 
 
+@pytest.mark.parametrize("kind", ["NONE", "RECORD", "BLOCK"])
+@pytest.mark.parametrize("limit", [1, 200, 70_000, 1 << 40])
+def test_archives_roll_in_their_tasks(spark, raw, tmp_path, kind, limit):
+    path = str(tmp_path / "a")
+    sizes = [[len(r["doc"]) + 4 for r in rows] for rows in raw.rdd.glom().collect()]
+    written = sink_archive(raw, path, kind, limit)
+    assert written == (len(as_set(raw)), sum(map(sum, sizes)))
+    assert as_set(scan_archive(spark, path)) == as_set(raw)
+    assert {r.compression for r in stored_compression(spark, path).collect()} == {kind}
+    names = sorted(p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith("."))
+    want = [f"part-{task:05d}-{n:05d}" for task, own in enumerate(sizes) if own for n in range(greedy(own, limit)[-1] + 1)]
+    assert names == ["_SUCCESS", *want]
+
+
 def test_archive_options(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="RECORD"):
-        sink_archive(raw, str(tmp_path / "r"), "RECORD")
+        sink_archive(raw, str(tmp_path / "r"), "RECORD", max_bytes=-1)
     with pytest.raises(ValueError):
         sink_archive(raw, str(tmp_path / "r"), "GZIP")
     for size in (0, -2):
@@ -51,8 +67,54 @@ def test_archive_options(spark, raw, tmp_path):
             assign_files(raw, size)
     small = raw.where(F.octet_length("doc") < 1000)
     sink_archive(small, str(tmp_path / "s"), max_bytes=200)
-    assert len(list((tmp_path / "s").glob("part-*"))) > 3
-    assert as_set(scan_archive(spark, str(tmp_path / "s"))) == as_set(small)
+    with pytest.raises(FileExistsError):
+        sink_archive(small, str(tmp_path / "s"))
+    assert sink_archive(raw.where("false"), str(tmp_path / "none")) == (0, 0)
+    assert scan_archive(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_lost_write_leaves_nothing_to_read(spark, raw, tmp_path):
+    path = str(tmp_path / "a")
+    manifest = write_open_files(raw, path)
+    assert all(p.name.endswith(".open") for p in (tmp_path / "a").iterdir())
+    with pytest.raises(FileNotFoundError):
+        scan_archive(spark, path)
+    first = manifest.first()
+    os.rename(tmp_path / "a" / first.part, tmp_path / "a" / first.file)  # published by a task that was lost afterwards
+    assert publish_files(manifest, path).records == raw.count() and as_set(scan_archive(spark, path)) == as_set(raw)
+
+
+def test_names_with_the_signs_of_patterns(spark, raw, tmp_path):
+    odd = ["a, b", "{c}", "[d]*", "e?", "back\\slash", "f^g", "é 1", "crawl-1"]
+    small = raw.where(F.octet_length("doc") < 1000).repartition(1)
+    for name in odd:
+        sink_archive(small, str(tmp_path / "root" / name / "x, {y} 1"))
+        shutil.copy(next((tmp_path / "root" / name / "x, {y} 1").glob("part*")), tmp_path / "root" / name / "f{1},[2]")
+    for name in ("crawl-2.open", "_crawl-3"):  # not to be read, though they look like crawl-1
+        sink_archive(small, str(tmp_path / "root" / name))
+    n = small.count()
+    assert scan_archive(spark, str(tmp_path / "root")).count() == 2 * n * len(odd)
+    paths = [str(tmp_path / "root" / name) for name in odd]
+    found = {r["crawl_dir"]: r["count"] for r in scan_multi(spark, paths).groupBy("crawl_dir").count().collect()}
+    assert found == {p: 2 * n for p in paths}
+    assert scan_archive(spark, [str(tmp_path / "root"), *paths]).count() == 2 * n * len(odd)  # no file twice
+
+
+def test_many_files_share_a_pattern(spark, raw, tmp_path):
+    root = tmp_path / "root"
+    small = raw.where(F.octet_length("doc") < 1000)
+    sink_archive(small.repartition(7), str(root / "job-1"), max_bytes=1)
+    sink_archive(small.repartition(1), str(root / "job-1" / "part-00009-00009"))  # a folder that looks like a file
+    sink_archive(small.repartition(2), str(root / "job-2"), max_bytes=1)
+    sink_archive(small.repartition(2), str(root / "deep" / "job-1"), max_bytes=1)
+    (root / "job-2" / "part-00000-00000.open").write_bytes(b"half a file")
+    (root / "job-1" / "part-00009-00009" / "x.invalid").write_bytes(b"half a file")
+    patterns = archive_patterns(spark, [f"file:{root}"])
+    files = 3 * small.count() + 1
+    assert sum(p.count("[0-9]") > 9 for p in patterns) == 2 and files > len(patterns)
+    assert scan_archive(spark, str(root)).count() == 4 * small.count()
+    sink_archive(small.repartition(4), str(tmp_path / "flat"), max_bytes=1)
+    assert archive_patterns(spark, [f"file:{tmp_path}/flat"]) == [f"file:{tmp_path}/flat/part-{'[0-9]' * 5}-{'[0-9]' * 5}"]
 
 
 def test_hadoop_text_bytes(spark):
@@ -120,6 +182,37 @@ def test_table(spark, sf_dir, tmp_path):
     assert back.count() == captures.count()
 
 
+def test_split_table_in_one_pass(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "t")
+    captures = parse_records(raw_crawl(spark, sf_dir))
+    written = sink_split(captures, path, 3000)
+    kept, rejected = scan_split(spark, path), scan_split(spark, path, "rejected")
+    assert {k: v.records for k, v in written.items()} == {"written": kept.count(), "rejected": rejected.count()}
+    sizes = [len(r.body) for r in captures.select("body").collect()]
+    assert written["written"].bytes == sum(n for n in sizes if n <= 3000) and written["rejected"].bytes == sum(n for n in sizes if n > 3000)
+    assert set(captures.columns) <= set(kept.columns) and kept.where("octet_length(body) > 3000").isEmpty()
+    assert "body" not in rejected.columns and {r.annotation for r in rejected.collect()} == {"unwritten:size"}
+    plan = rejected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(disposition" in plan
+
+
+def test_conditions_reach_the_scan(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "raw")
+    raw = raw_crawl(spark, sf_dir).withColumn("day", F.expr("date'2024-01-01' + cast(crc32(uri) % 5 as int)")).withColumn("size", F.octet_length("doc"))
+    raw.write.partitionBy("day").parquet(path)
+    table = spark.read.parquet(path)
+    where = ["day >= date'2024-01-02' AND status = 200 AND size > 2000", F.col("uri").startswith("http"), "charset = 'UTF-8' OR size < 0"]
+    got = parse_records(table, where=where)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= 2024-01-02", plan) and "GreaterThan(size,2000)" in plan and "StringStartsWith(uri,http)" in plan
+    filters = [line for line in plan.splitlines() if "Filter (" in line]
+    assert len(filters) == 2 and all("substring_index" not in line and "regexp" not in line for line in filters)
+    all_rows = parse_records(table)
+    want = all_rows.where("day >= date'2024-01-02' AND status = 200 AND size > 2000 AND uri LIKE 'http%' AND (charset = 'UTF-8' OR size < 0)")
+    assert sorted(r.uri for r in got.collect()) == sorted(r.uri for r in want.collect()) != []
+    assert parse_records(table, where="day = date'2024-01-01'").columns == all_rows.columns
+
+
 def greedy(sizes, limit):
     out, file_no, used = [], 0, 0
     for n in sizes:

@@ -16,6 +16,13 @@ _DECLARATION = (
     r"|</head"
     r'|<meta\s+http-equiv\s*=\s*"content-type[^"]*"\s*+(?:(?!content)|content\s*=\s*"[^"]*")'
 )
+# The charset attribute of a meta element, behind any other attributes. Each of these is taken whole or not at all,
+# so that nothing is tried twice.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+_ATTRIBUTE = rf"""(?!charset\s*+=)[^\s=>/"'<]++(?:\s*+=\s*+{_VALUE})?+[\s/]*+"""
+_META_CHARSET = rf"<meta[\s/]++(?:{_ATTRIBUTE})*+charset\s*+=\s*+{_VALUE}"
+_COMMENT = r"(?s)<!--.*?-->"
+_HTML5_CHARSET = rf"(?is)\A<meta[\s/]++(?:{_ATTRIBUTE})*+charset\s*+=\s*+({_VALUE})\z"
 _XML_ENCODING = r'(?is)<\?xml(?>.*?encoding)[^"]*"([^"]*)".*\?>\z'
 _META_CONTENT = r'(?is)content\s*=\s*"([^"]*)"\z'
 
@@ -53,11 +60,19 @@ def charset_param(value: Column) -> Column:
     return clean_charset(charset_label(value))
 
 
-def declaration(body_text: Column) -> Column:
+def declaration(body_text: Column, html5: bool = False) -> Column:
     """The piece of a body that declares its type or charset, '' if there is none."""
+    if html5:
+        return F.regexp_extract(F.regexp_replace(body_text, _COMMENT, ""), f"(?is){_META_CHARSET}|{_DECLARATION}", 0)
     return F.regexp_extract(body_text, _DECLARATION, 0)
 
 
+def html5_charset(found: Column) -> Column:
+    """Charset attribute of a meta element as written, null if the declaration is another one."""
+    value = F.btrim(F.regexp_extract(found, _HTML5_CHARSET, 1), F.lit("\"' \t\r\n"))
+    return F.nullif(value, F.lit(""))
+
+
 def is_xml_declaration(found: Column) -> Column:
     return found.rlike(r"(?i)\A[^<]*<\?xml")
 

@@ -2,24 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
+from ..sources.scratch import materialize
+
+
+def _row_in_file(captures: DataFrame) -> list[Column] | None:
+    """What tells the rows of Parquet files apart: file and place; None if the rows don't come straight from such files."""
+    hidden = captures._jdf.queryExecution().analyzed().metadataOutput()
+    found = [hidden.apply(i) for i in range(hidden.size())]
+    if not any(x.name() == "_metadata" and "row_index" in list(x.dataType().fieldNames()) for x in found):
+        return None
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+
+
+def _ranked(captures: DataFrame) -> DataFrame:
+    newest = Window.partitionBy("canonical_url").orderBy(F.col("crawl_time").desc_nulls_last(), "uri")
+    return captures.withColumn("_rank", F.row_number().over(newest))
+
+
+def _with_page(captures: DataFrame, url: str) -> DataFrame:
+    return U.with_canonical_url(captures, url).withColumn("canonical_url", F.coalesce("canonical_url", url, "uri"))
 
 
 def dedupe_captures(captures: DataFrame, url: str = "url") -> DataFrame:
     """Latest capture of each canonical URL, with that URL as ``canonical_url``.
 
     URLs without canonical form are told apart by themselves. Of captures with the
-    same time the one with the smaller URI is kept. The row number limit runs before
-    the shuffle too, so each task sends on at most one capture per page and a page
-    that was fetched very often does not pile up in one task."""
-    newest = Window.partitionBy("canonical_url").orderBy(F.col("crawl_time").desc_nulls_last(), "uri")
-    return (
-        U.with_canonical_url(captures, url)
-        .withColumn("canonical_url", F.coalesce("canonical_url", url, "uri"))
-        .withColumn("_rank", F.row_number().over(newest))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
+    same time the one with the smaller URI is kept.
+
+    Captures that come straight from Parquet files (``scan_table`` and what was
+    selected or filtered from it) are ranked by their narrow columns and their place
+    in the files; only these are sorted and shuffled, and written out. Bodies are then
+    fetched by one join on the places that are needed less often, those that stay or
+    those that go: a broadcast if they are small by their size on disk.
+
+    All others are ranked as whole rows. The row number limit runs before the shuffle
+    too, so each task sends on at most one capture per page and a page that was
+    fetched very often does not pile up in one task."""
+    place = _row_in_file(captures)
+    if place is None:
+        return _ranked(_with_page(captures, url)).where("_rank = 1").drop("_rank")
+    names = list(dict.fromkeys([url, "uri", "crawl_time"]))
+    ranked = _ranked(_with_page(captures.select(*names, *place), url))
+    ranked = materialize(ranked.select("_file", "_row", (F.col("_rank") == 1).alias("_stays")), "places")
+    stay, all_rows = ranked.agg(F.count_if("_stays"), F.count(F.lit(1))).first()
+    few = "left_semi" if 2 * stay <= all_rows else "left_anti"
+    wanted = ranked.where(F.col("_stays") == (few == "left_semi")).select("_file", "_row")
+    kept = captures.select("*", *place).join(wanted, ["_file", "_row"], few)
+    return _with_page(kept.select(*captures.columns), url)

@@ -8,40 +8,19 @@ from pyspark.sql import functions as F
 from ..schema import SEED_WALK_STEPS
 from ..sources.scratch import materialize
 
-# A key is hot from this many rows on. There can be no more than rows / HOT_ROWS hot
-# keys, which bounds what ``lookup`` broadcasts.
-HOT_ROWS = 1_000_000
 
-
-def lookup(facts: DataFrame, key: str, dim: DataFrame, dim_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup(facts: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Left join to a table with one row per key, balanced whatever the keys of ``facts``.
 
-    The few keys that hold very many facts are matched by broadcasting their rows of
-    ``dim``; there are at most (number of facts / hot_rows) of them. All others go
-    through a shuffle join, in which no key has more than ``hot_rows`` facts. Facts
-    that the broadcast settled, and those without key, get a key there that matches
-    nothing and spreads them evenly."""
+    One shuffle join, or a broadcast where the planner finds ``dim`` small enough. A key with very many facts makes a
+    large partition of facts, which adaptive execution splits while it repeats the one row of ``dim``; there is no look
+    at the facts before. Facts without key get one that matches nothing and spreads them evenly."""
     values = [c for c in dim.columns if c != dim_key]
-    hot_keys = (
-        facts.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select("_hot_key")
-    )
-    hot = hot_keys.join(dim, hot_keys["_hot_key"] == dim[dim_key], "left").select(
-        "_hot_key", *[F.col(v).alias(f"_hot_{v}") for v in values]
-    )
-    cold = dim.select(F.col(dim_key).alias("_cold_key"), *[F.col(v).alias(f"_cold_{v}") for v in values])
+    other = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(v).alias(f"_dim_{v}") for v in values])
     spread = F.concat(F.lit("\u0000"), F.hex(F.xxhash64(F.monotonically_increasing_id())))
-    keyed = facts.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    settled = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    keyed = keyed.withColumn("_join_key", F.when(settled, spread).otherwise(F.col(key)))
-    joined = keyed.join(cold, F.col("_join_key") == F.col("_cold_key"), "left")
-    merged = [
-        F.when(F.col("_hot_key").isNotNull(), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values
-    ]
-    return joined.select(*facts.columns, *merged)
+    keyed = facts.withColumn("_join_key", F.coalesce(F.col(key), spread))
+    joined = keyed.join(other, F.col("_join_key") == F.col("_dim_key"), "left")
+    return joined.select(*facts.columns, *[F.col(f"_dim_{v}").alias(v) for v in values])
 
 
 def _latest(captures: DataFrame, columns: list[str]) -> DataFrame:
@@ -54,18 +33,18 @@ def _latest(captures: DataFrame, columns: list[str]) -> DataFrame:
 def via_join(
     captures: DataFrame,
     columns: tuple[str, ...] = ("status", "content_type", "crawl_time"),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Attach columns of the referring capture as ``via_<column>``, null if it is not there.
 
-    Ask for narrow columns: a parent's values are repeated for each of its children."""
+    Ask for narrow columns: a parent's values are repeated for each of its children. ``captures`` are read twice: once
+    for these columns, and once for the join."""
     parents = _latest(captures, list(columns)).select(
         F.col("uri").alias("_parent"), *[F.col(c).alias(f"via_{c}") for c in columns]
     )
-    return lookup(captures, "via", parents, "_parent", hot_rows)
+    return lookup(captures, "via", parents, "_parent")
 
 
-def _seeds_above(nodes: DataFrame, max_distance: int, hot_rows: int) -> DataFrame:
+def _seeds_above(nodes: DataFrame, max_distance: int) -> DataFrame:
     """Nearest seed at or above each node, by pointer doubling.
 
     ``nodes``: ``node``, ``next`` and ``is_seed``, one row per node. After round k a
@@ -89,7 +68,7 @@ def _seeds_above(nodes: DataFrame, max_distance: int, hot_rows: int) -> DataFram
             F.col("distance").alias("_distance"),
             F.col("next").alias("_next"),
         )
-        joined = lookup(state, "next", above, "_node", hot_rows)
+        joined = lookup(state, "next", above, "_node")
         state = joined.select(
             "node",
             F.coalesce("seed", "_seed").alias("seed"),
@@ -100,23 +79,24 @@ def _seeds_above(nodes: DataFrame, max_distance: int, hot_rows: int) -> DataFram
     return state.where(F.col("seed").isNotNull() & (F.col("distance") <= max_distance)).select("node", "seed")
 
 
-def resolve_seed(
-    captures: DataFrame, to: str = "seed_url", steps: int = SEED_WALK_STEPS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def resolve_seed(captures: DataFrame, to: str = "seed_url", steps: int = SEED_WALK_STEPS) -> DataFrame:
     """Add the URI of the seed that a capture was reached from, '' if there is none.
 
-    The walk starts at the referrer and may take ``steps`` steps past it; it ends at
-    the first seed. Only captures that are referrers take part in the doubling; the
-    mass of leaves looks its referrer's seed up once, at the end. ``captures`` is
-    read for the nodes, for the referrers, for the count of hot keys and for the last join."""
-    known = _latest(captures, ["is_seed", "via"])
-    referrers = captures.select(F.col("via").alias("uri")).where(F.col("uri").isNotNull()).distinct()
-    nodes = known.join(referrers, "uri", "left_semi").select(
+    The walk starts at the referrer and may take ``steps`` steps past it; it ends at the first seed. ``captures`` are
+    read twice: once for a narrow table of who was reached from where, which is written out and serves all that follows,
+    and once for the last join. Only captures that are referrers take part in the doubling; the mass of leaves looks
+    its referrer's seed up once, at the end."""
+    time = ["crawl_time"] if "crawl_time" in captures.columns else []
+    visits = materialize(captures.select("uri", "via", "is_seed", *time), "visits")
+    referrers = visits.select(F.col("via").alias("uri")).where(F.col("uri").isNotNull()).distinct()
+    # only the visits of referrers: most captures are leaves
+    known = _latest(visits.join(referrers, "uri", "left_semi"), ["is_seed", "via"])
+    nodes = known.select(
         F.col("uri").alias("node"),
         F.col("via").alias("next"),
         F.coalesce("is_seed", F.lit(False)).alias("is_seed"),
     )
-    seeds = _seeds_above(nodes, steps, hot_rows).select(F.col("node").alias("_node"), F.col("seed").alias("_seed"))
+    seeds = materialize(_seeds_above(nodes, steps), "seeds").select(F.col("node").alias("_node"), F.col("seed").alias("_seed"))
     base = captures.drop(to)
-    out = lookup(base, "via", seeds, "_node", hot_rows)
+    out = lookup(base, "via", seeds, "_node")
     return out.select(*base.columns, F.coalesce("_seed", F.lit("")).alias(to))

@@ -9,8 +9,10 @@ text pass over a body is the search for a declaration, for bodies it applies to.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bytesview as B
@@ -81,10 +83,61 @@ def valid_records(raw: DataFrame, mode: str = "DROPMALFORMED") -> DataFrame:
     raise ValueError(f"unknown mode {mode!r}: PERMISSIVE, DROPMALFORMED or FAILFAST")
 
 
-def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str = "PERMISSIVE") -> DataFrame:
+Where = Column | str | Iterable[Column | str]
+
+
+def _terms(spark: SparkSession, where: Where) -> list[Column]:
+    """Conditions that all have to hold. Text is split where its outermost operators are AND."""
+    out = []
+    for term in [where] if isinstance(where, (str, Column)) else where:
+        if not isinstance(term, str):
+            out.append(term)
+            continue
+        left = [spark._jsparkSession.sessionState().sqlParser().parseExpression(term)]
+        parts = []
+        while left:
+            expression = left.pop()
+            if expression.getClass().getSimpleName() == "And":
+                left += [expression.right(), expression.left()]
+            else:
+                parts.append(expression)
+        out += [F.expr(p.sql()) for p in parts] if len(parts) > 1 else [F.expr(term)]
+    return out
+
+
+def _columns_of(term: Column, df: DataFrame) -> set[str]:
+    """Names of the columns that a condition on ``df`` refers to, as Spark resolves them."""
+    references = df.where(term)._jdf.queryExecution().analyzed().references().toSeq()
+    return {references.apply(i).name() for i in range(references.size())}
+
+
+def split_where(raw: DataFrame, where: Where) -> tuple[DataFrame, list[Column]]:
+    """Apply the conditions that RAW rows can be judged by, and return those that are left.
+
+    These are the ones on ``uri`` and on columns that are passed through; they reach the scan, where they prune folders
+    and Parquet row groups. All others wait for the parse."""
+    passed = [c for c in raw.columns if c not in ("uri", "doc", "error")]
+    parsed = [F.lit(None).cast(f.dataType).alias(f.name) for f in CAPTURE.fields if f.name != "uri"]
+    result = raw.select("uri", *[f"`{c}`" for c in passed], *parsed)
+    later = []
+    for term in _terms(raw.sparkSession, where):
+        if _columns_of(term, result) <= {"uri", *passed}:
+            raw = raw.where(term)
+        else:
+            later.append(term)
+    return raw, later
+
+
+def parse_records(
+    raw: DataFrame, names: FieldNames = FieldNames(), mode: str = "PERMISSIVE", where: Where = (), html5: bool = False
+) -> DataFrame:
     """Parse RAW rows into CAPTURE rows. http and https are read alike.
 
-    Columns of ``raw`` other than ``uri`` and ``doc`` are passed through."""
+    Columns of ``raw`` other than ``uri`` and ``doc`` are passed through. ``where`` filters the result by conditions on
+    any of its columns; those on ``uri`` and on columns passed through are applied to the scan, before a record is
+    looked at (so that FAILFAST does not see the rows they leave out), the others to what was parsed. With ``html5`` a
+    ``<meta charset=...>`` in the head, outside of comments, declares a charset too."""
+    raw, later = split_where(raw, where)
     extra = [c for c in raw.columns if c not in ("uri", "doc", "error")]
     c = F.col
 
@@ -144,14 +197,16 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
 
     df = df.select("*", M.content_type_header(c("_head")).alias("_ct"))
     df = df.select("*", M.normalize_mime(c("_ct")).alias("_type"))
-    df = df.select("*", F.when(c("_web") & M.sniffable(c("_type")), M.declaration(B.view(c("body")))).alias("_found"))
+    df = df.select("*", F.when(c("_web") & M.sniffable(c("_type")), M.declaration(B.view(c("body")), html5)).alias("_found"))
     # What the declaration says, with an empty string for "says nothing".
     df = df.select(
         "*",
         M.is_xml_declaration(c("_found")).alias("_xml"),
         M.meta_content(c("_found")).alias("_meta"),
     )
-    df = df.select("*", F.coalesce(M.charset_label(c("_meta")), M.charset_label(c("_ct"))).alias("_label"))
+    named = M.html5_charset(c("_found")) if html5 else F.lit(None).cast("string")
+    df = df.select("*", named.alias("_named"))
+    df = df.select("*", F.coalesce(M.charset_label(c("_meta")), c("_named"), M.charset_label(c("_ct"))).alias("_label"))
 
     df = df.select("*", _entries(c("_block")).alias("_entries"))
 
@@ -167,14 +222,15 @@ def parse_records(raw: DataFrame, names: FieldNames = FieldNames(), mode: str =
         "fields": _fields(c("_entries")),
         "extension": U.extension(c("url")),
         "status": F.when(c("_block").isNotNull(), F.coalesce(status, F.lit(0))),
-        "content_type": M.sniffed_type(c("_meta"), c("_type")),
+        "content_type": F.coalesce(M.sniffed_type(c("_meta"), c("_type")), F.when(c("_named").isNotNull(), "text/html")),
         "charset": F.coalesce(F.when(c("_xml"), M.xml_encoding(c("_found"))), M.clean_charset(c("_label"))),
     }
     df = df.select(*extra, *[columns.get(f.name, c(f.name)).alias(f.name) for f in CAPTURE.fields])
     # Counting the records also keeps filters on the result above this point. Moved
     # below, a filter would repeat the expressions of all steps, over and over, to
     # compute its column a second time. Unused columns are still pruned.
-    return df.observe(f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+    df = df.observe(f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+    return reduce(DataFrame.where, later, df)
 
 
 def field_lookup(captures: DataFrame, label: str, name: str = "value") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import codecs
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..functions import urls as U
 from ..operators import assemble, dedupe, filters, lineage, links, parse, text
 from ..schema import MAGIC, RAW, FieldNames
 from ..sources import archive, documents, rolling, table
+from ..sources.counted import stream_written
 from ..sources.scratch import fresh_dir
 from ..streaming import ingest
 from . import reports
@@ -50,8 +52,12 @@ def _parsed(spark: SparkSession, sf_dir: str, lineage_joins: bool = False) -> Da
 # Sources and sinks -----------------------------------------------------------------
 
 
+def _raw_columns() -> list:
+    return ["uri", _digest("doc").alias("doc_md5"), F.octet_length("doc").alias("bytes")]
+
+
 def _raw_rows(raw: DataFrame) -> DataFrame:
-    return raw.select("uri", _digest("doc").alias("doc_md5"), F.octet_length("doc").alias("bytes"))
+    return raw.select(*_raw_columns())
 
 
 @_query
@@ -66,20 +72,25 @@ def scan_multi(spark, sf_dir):
     root = fresh_dir(spark, "crawls")
     captures = crawl(read_pages(spark, sf_dir))
     paths = []
-    for name, chosen in (("even", c("page_id") % 2 == 0), ("odd", c("page_id") % 2 == 1)):
+    for name, chosen in (("even, 1", c("page_id") % 2 == 0), ("{odd}", c("page_id") % 2 == 1)):
         paths.append(f"{root}/{name}")
         archive.sink_archive(assemble.encode_record(captures.where(chosen)), paths[-1])
     raw = archive.scan_multi(spark, paths)
-    name = F.substring_index("crawl_dir", "/", -1).alias("crawl")
-    return raw.groupBy(name).agg(F.count("*").alias("records"), F.sum(F.octet_length("doc").cast("bigint")).alias("bytes"))
+    return raw.select(F.substring_index("crawl_dir", "/", -1).alias("crawl"), *_raw_columns())
+
+
+def _spread_over_days(captures: DataFrame) -> DataFrame:
+    """The crawl as one of seven days, by page number."""
+    return captures.withColumn("crawl_time", F.timestamp_add("DAY", c("page_id") % 7, c("crawl_time")))
 
 
 @_query
 def scan_table(spark, sf_dir):
     path = fresh_dir(spark, "table")
-    table.sink_table(_parsed(spark, sf_dir), path)
-    day = table.scan_table(spark, path).where(c(table.DATE) >= F.lit("2024-01-01").cast("date")).where("status = 200")
-    return day.select("uri", c(table.DATE).cast("string").alias("crawl_date"), "charset", F.octet_length("body").alias("body_bytes"))
+    table.sink_table(parse.parse_records(assemble.encode_record(_spread_over_days(crawl(read_pages(spark, sf_dir))))), path)
+    days = c(table.DATE).between(F.lit("2024-01-04").cast("date"), F.lit("2024-01-05").cast("date"))
+    some = table.scan_table(spark, path).where(days).where("status = 200")
+    return some.select("uri", c(table.DATE).cast("string").alias("crawl_date"), "charset", F.octet_length("body").alias("body_bytes"))
 
 
 @_query
@@ -94,10 +105,19 @@ def scan_single_docs(spark, sf_dir):
 
 @_query
 def skip_open_files(spark, sf_dir):
+    """Job folders, one in the other, with finished and unfinished files side by side, and an unfinished folder."""
     root = fresh_dir(spark, "mixed")
     captures = crawl(read_pages(spark, sf_dir))
-    for k, name in enumerate(("done", "running.open", "broken.invalid")):
-        archive.sink_archive(assemble.encode_record(captures.where(c("page_id") % 3 == k)), f"{root}/{name}")
+
+    def write(chosen: Column, folder: str) -> DataFrame:
+        return archive.write_open_files(assemble.encode_record(captures.where(chosen)), f"{root}/{folder}", max_bytes=200_000)
+
+    for k, folder in enumerate(("job-1", "job-1/job-2", "job-3")):
+        mine = c("page_id") % 9 == k
+        archive.publish_files(write(mine, folder), f"{root}/{folder}")
+        write(c("page_id") % 9 == k + 3, folder)  # never published
+        broken = f"{folder}/broken.invalid"
+        archive.publish_files(write(c("page_id") % 9 == k + 6, broken), f"{root}/{broken}")
     return _raw_rows(archive.scan_archive(spark, root))
 
 
@@ -108,14 +128,39 @@ def sink_archive(spark, sf_dir):
     return _raw_rows(archive.scan_archive(spark, path))
 
 
+def _roll_check(rows: DataFrame, limit: int) -> DataFrame:
+    """Files that were closed too late or too early, from ``file``, place ``at`` and bytes ``n`` of each record."""
+    files = rows.groupBy("file").agg(F.count("*").alias("records"), F.sum("n").alias("bytes"), F.max_by("n", "at").alias("last"))
+    written = F.regexp_extract("file", r"part-(\d+)", 1), F.max("file").over(Window.partitionBy("task"))
+    rolled = files.withColumn("task", written[0]).withColumn("rolled", c("file") < written[1])
+    return rolled.agg(
+        F.sum("records").alias("records"),
+        F.sum("bytes").alias("bytes"),
+        F.count_if(c("bytes") - c("last") > limit).alias("rolled_late"),
+        F.count_if(c("rolled") & (c("bytes") <= limit)).alias("rolled_early"),
+    )
+
+
+@_query
+def sink_archive_rolling(spark, sf_dir):
+    limit = 100_000
+    path = fresh_dir(spark, "archive")
+    archive.sink_archive(raw_crawl(spark, sf_dir), path, max_bytes=limit)
+    size = (F.octet_length("doc") + 4).cast("bigint").alias("n")
+    rows = archive.scan_archive(spark, path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), size)
+    return _roll_check(rows, limit)
+
+
 @_query
 def sink_compression(spark, sf_dir):
     out = []
-    for kind in ("NONE", "BLOCK", "DEFAULT"):
+    for kind in ("NONE", "RECORD", "BLOCK", "DEFAULT"):
         path = fresh_dir(spark, kind.lower())
         archive.sink_archive(raw_crawl(spark, sf_dir), path, kind)
-        out.append(_raw_rows(archive.scan_archive(spark, path)).select(F.lit(kind).alias("compression"), "*"))
-    return out[0].unionByName(out[1]).unionByName(out[2])
+        found = archive.stored_compression(spark, path).withColumnRenamed("compression", "stored")
+        rows = archive.scan_archive(spark, path).withColumn("file", F.input_file_name())
+        out.append(rows.join(found, "file").select(F.lit(kind).alias("compression"), "stored", *_raw_columns()))
+    return reduce(DataFrame.unionByName, out)
 
 
 @_query
@@ -135,20 +180,32 @@ def sink_rolling(spark, sf_dir):
     limit = 100_000
     path = fresh_dir(spark, "rolled")
     rolling.sink_rolling(raw_crawl(spark, sf_dir), path, limit)
+    file = F.concat(F.substring_index("_metadata.file_name", "-", 2), F.lit("-"), F.lpad(c("file_no").cast("string"), 9, "0"))
     rows = spark.read.parquet(path).select(
-        "file_no", c("_metadata.file_name").alias("file"), c("_metadata.row_index").alias("at"), F.octet_length("doc").cast("bigint").alias("n")
-    )
-    files = rows.groupBy("file", "file_no").agg(
-        F.count("*").alias("records"), F.sum("n").alias("bytes"), F.max_by("n", "at").alias("last")
-    )
-    task = F.regexp_extract("file", r"\Apart-(\d+)", 1)
-    rolled = c("file_no") < F.max("file_no").over(Window.partitionBy(task))
-    return files.withColumn("rolled", rolled).agg(
-        F.sum("records").alias("records"),
-        F.sum("bytes").alias("bytes"),
-        F.count_if(c("bytes") - c("last") > limit).alias("rolled_late"),
-        F.count_if(c("rolled") & (c("bytes") <= limit)).alias("rolled_early"),
+        file.alias("file"), c("_metadata.row_index").alias("at"), F.octet_length("doc").cast("bigint").alias("n")
     )
+    return _roll_check(rows, limit)
+
+
+@_query
+def sink_counts(spark, sf_dir):
+    """Records and bytes as each sink's own job counted them."""
+    raw = raw_crawl(spark, sf_dir)
+    captures = parse.parse_records(raw)
+    source, streamed = fresh_dir(spark, "incoming"), fresh_dir(spark, "ingested")
+    raw.write.parquet(source)
+    query = ingest.stream_ingest(ingest.stream_rows(spark, source, RAW, max_files=3), streamed, fresh_dir(spark, "state"))
+    query.awaitTermination()
+    split = table.sink_split(captures, fresh_dir(spark, "split"), 3000)
+    found = {
+        "archive": archive.sink_archive(raw, fresh_dir(spark, "archive"), max_bytes=100_000),
+        "archive by task": archive.sink_archive(raw, fresh_dir(spark, "archive"), max_bytes=-1),
+        "rolling": rolling.sink_rolling(raw, fresh_dir(spark, "rolled"), 100_000),
+        "table": table.sink_table(captures, fresh_dir(spark, "table")),
+        "stream": stream_written(query),
+        **split,
+    }
+    return spark.createDataFrame([(k, *v) for k, v in found.items()], "sink string, records long, bytes long")
 
 
 # Record assembly -------------------------------------------------------------------
@@ -226,6 +283,16 @@ def filter_size(spark, sf_dir):
     return kept.unionByName(rejected).select("uri", F.octet_length("body").alias("body_bytes"), "annotation")
 
 
+@_query
+def filter_size_split(spark, sf_dir):
+    """Written and rejected by one write, and both read back."""
+    path = fresh_dir(spark, "split")
+    table.sink_split(_parsed(spark, sf_dir), path, 3000)
+    kept = table.scan_split(spark, path).select("uri", F.octet_length("body").alias("body_bytes"), F.lit("written").alias("annotation"), "crawl_date")
+    rejected = table.scan_split(spark, path, "rejected").select("uri", c("content_bytes").cast("int").alias("body_bytes"), "annotation", "crawl_date")
+    return kept.unionByName(rejected).withColumn("crawl_date", c("crawl_date").cast("string"))
+
+
 def _odd_urls(pages: DataFrame) -> DataFrame:
     """Pages under URLs of other kinds, by page number."""
     root = F.regexp_extract("url", r"^[a-z]+://[^/?#]+", 0)
@@ -292,6 +359,16 @@ def parse_record(spark, sf_dir):
     )
 
 
+@_query
+def parse_where(spark, sf_dir):
+    """A RAW table by days, of which conditions on the parsed records read two."""
+    path = fresh_dir(spark, "raw")
+    raw = assemble.encode_record(_spread_over_days(crawl(read_pages(spark, sf_dir))), keep=("page_id", "crawl_time"))
+    raw.withColumn("day", F.to_date("crawl_time")).drop("crawl_time").write.partitionBy("day").parquet(path)
+    where = ["day BETWEEN date'2024-01-04' AND date'2024-01-05' AND status <> 404 AND page_id >= 20", c("charset").isNotNull()]
+    return parse.parse_records(spark.read.parquet(path), where=where).select("page_id", "uri", "status", "charset", c("day").cast("string").alias("day"))
+
+
 @_query
 def parse_version(spark, sf_dir):
     return parse.parse_records(_damaged(spark, sf_dir)).select("page_id", "version", "error")
@@ -336,24 +413,42 @@ def header_content_type(spark, sf_dir):
     return df.select("page_id", F.btrim(M.content_type_header(c("head")), F.lit(" \r")).alias("header"))
 
 
+def _page_words(pages: DataFrame) -> DataFrame:
+    """``kind`` 0 to 4 and two words of each page, ``v`` and ``w``; null where a page has too few."""
+    words = F.split(F.trim(F.regexp_replace("html", "[^A-Za-z]+", " ")), " ")
+    some = pages.select("page_id", (c("page_id") % 5).alias("kind"), words.alias("words"))
+    return some.select(
+        "page_id", "kind", F.get("words", (c("page_id") % 50 + 8).cast("int")).alias("v"), F.get("words", (c("page_id") % 70 + 9).cast("int")).alias("w")
+    )
+
+
+def _spelled(*spellings: tuple) -> Column:
+    """The parts of the spelling that has the page's kind, put together."""
+    out = F.lit(None).cast("string")
+    for k, parts in enumerate(spellings):
+        out = F.when(c("kind") == k, F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])).otherwise(out)
+    return out
+
+
 @_query
 def normalize_mime(spark, sf_dir):
-    return read_pages(spark, sf_dir).select("page_id", M.normalize_mime(content_type_header()).alias("content_type"))
+    v, w = c("v"), c("w")
+    value = _spelled((v, "/", w), (' "', F.upper(v), "/", w, '+xml"; q=1'), (v, w), ("\t", v, "/", w, " ; charset=", v), (v, ";/", w))
+    return _page_words(read_pages(spark, sf_dir)).select("page_id", M.normalize_mime(value).alias("content_type"))
 
 
 @_query
 def mime_params_charset(spark, sf_dir):
-    return read_pages(spark, sf_dir).select("page_id", M.charset_param(content_type_header()).alias("charset"))
-
-
-LABELS = ("iso8859_1", "x-iso-8859-1", "Shift_JIS", "utf8", '"utf-8"', "foo bar", "windows-1252")
+    v, w = c("v"), c("w")
+    value = _spelled(("text/html;charset=", v), ("text/html; a=b; CHARSET=", v, "; charset = ", w), ('a/b;charset="', v, '"'), ("text/html charset=", v), ("a/b; charset=;x=", w))
+    return _page_words(read_pages(spark, sf_dir)).select("page_id", M.charset_param(value).alias("charset"))
 
 
 @_query
 def clean_charset(spark, sf_dir):
-    pages = read_pages(spark, sf_dir)
-    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), (c("page_id") % len(LABELS) + 1).cast("int"))
-    return pages.select("page_id", M.clean_charset(label).alias("charset"))
+    v, w = c("v"), c("w")
+    label = _spelled(('"', v, '"'), (v, " ", w), ("x-", v, "8859_1"), (v, "utf8"), (v, "_", w, "-1;2"))
+    return _page_words(read_pages(spark, sf_dir)).select("page_id", M.clean_charset(label).alias("charset"))
 
 
 @_query
@@ -377,6 +472,22 @@ def detect_charset(spark, sf_dir):
     return _parsed(spark, sf_dir).select("uri", "content_type", "charset")
 
 
+#: What stands in the head of a page in place of its own meta element.
+HEADS = (
+    '<meta charset="windows-1251">', "<META name=x content='charset=no' / charset = koi8-r >", '<!-- <meta charset="big5"> -->',
+    '<meta name="description" content="charset=latin1">', '</head><meta charset="big5">',
+    '<meta http-equiv="Content-Type" content="text/html; charset=iso-8859-2">', '<meta data-charset="big5" charset=utf8>',
+)
+
+
+@_query
+def detect_html5_charset(spark, sf_dir):
+    pages = read_pages(spark, sf_dir)
+    head = F.element_at(F.array(*[F.lit(x) for x in HEADS]), (c("page_id") % len(HEADS) + 1).cast("int"))
+    changed = pages.withColumn("html", F.replace("html", F.lit('<meta charset="utf-8">'), head))
+    return parse.parse_records(assemble.encode_record(crawl(changed)), html5=True).select("uri", "content_type", "charset")
+
+
 #: Labels as pages spell them, and words that they can encode.
 PHRASES = [
     ("SJIS", "日本語"), ("CP932", "髙い日本"), ("EUCJP", "日本語"), ("ISO-2022-JP", "日本語"), ("CP949", "한국어"), ("X-GBK", "中文網"),
@@ -478,10 +589,22 @@ def _recrawled(pages: DataFrame) -> DataFrame:
     return captures.select(F.concat(url, F.lit("#"), c("page_id").cast("string")).alias("uri"), url.alias("url"), "page_id", "crawl_time", "response")
 
 
+def _latest_captures(captures: DataFrame) -> DataFrame:
+    out = dedupe.dedupe_captures(captures)
+    return out.select("canonical_url", "uri", "page_id", _time(), _digest("response").alias("response_md5"))
+
+
 @_query
 def dedupe_captures(spark, sf_dir):
-    out = dedupe.dedupe_captures(_recrawled(read_pages(spark, sf_dir)))
-    return out.select("canonical_url", "uri", "page_id", _time(), _digest("response").alias("response_md5"))
+    return _latest_captures(_recrawled(read_pages(spark, sf_dir)))
+
+
+@_query
+def dedupe_table(spark, sf_dir):
+    """The same out of a capture table, where bodies are fetched last."""
+    path = fresh_dir(spark, "table")
+    table.sink_table(_recrawled(read_pages(spark, sf_dir)), path)
+    return _latest_captures(table.scan_table(spark, path))
 
 
 # HTML and links --------------------------------------------------------------------
@@ -516,6 +639,11 @@ def extract_links(spark, sf_dir):
 
 @_query
 def resolve_links(spark, sf_dir):
+    return links.resolve_links(links.extract_links(linked_pages(read_pages(spark, sf_dir))))
+
+
+@_query
+def page_links(spark, sf_dir):
     return links.page_links(linked_pages(read_pages(spark, sf_dir)))
 
 

@@ -10,7 +10,7 @@ from ..functions.urls import DEFAULT_PAGE_TYPES, DEFAULT_PAGES
 from ..operators.filters import MEDIA_EXTENSIONS, URL_REJECT
 from ..schema import BAD_HEADER, TRUNCATED, UNWRITTEN_SIZE, VERSION
 from .page_crawl import META, ODD_LINKS, XML
-from .page_queries import LABELS, PHRASES
+from .page_queries import HEADS, PHRASES
 
 _CRLF = "chr(13) || chr(10)"
 
@@ -188,7 +188,11 @@ _TAGS = "\nUNION ALL ".join(
 )
 
 _MEDIA = ", ".join(f"'{x}'" for x in MEDIA_EXTENSIONS)
-_CLEAN = ("ISO-8859-1", "ISO-8859-1", "SHIFT_JIS", "UTF-8", "UTF-8", "FOO", "WINDOWS-1252")
+_PAGE_WORDS = """SELECT page_id, page_id % 5 AS kind, words[page_id % 50 + 9] AS v, words[page_id % 70 + 10] AS w
+  FROM (SELECT page_id, string_split(trim(regexp_replace(html, '[^A-Za-z]+', ' ', 'g')), ' ') AS words FROM pages)"""
+_OTHER_DAY = "(SELECT *, strftime(ts + to_days(CAST(page_id % 7 AS INTEGER)), '%Y-%m-%d') AS day FROM cap)"
+_ROLLED = "CAST(0 AS BIGINT) AS rolled_late, CAST(0 AS BIGINT) AS rolled_early"
+_HEAD_CHARSETS = ("WINDOWS-1251", "KOI8-R", None, None, None, "ISO-8859-2", "UTF-8")
 _TEXT_LINE = f"html || {_CRLF}"
 _NARROW = "regexp_replace(html, '[^\\x00-\\x7e\\xa0-\\xff]', '?', 'g')"
 _RECRAWL_PAGE = "CASE WHEN page_id % 3 = 0 THEN 0 ELSE page_id % 40 END"
@@ -196,24 +200,35 @@ _RECRAWL_PAGE = "CASE WHEN page_id % 3 = 0 THEN 0 ELSE page_id % 40 END"
 ORACLES: dict[str, str] = {
     "scan_archive": _from_crawl(_RAW.format(doc="full_doc")),
     "scan_multi": _from_crawl(
-        "SELECT CASE WHEN page_id % 2 = 0 THEN 'even' ELSE 'odd' END AS crawl, count(*) AS records,"
-        " CAST(sum(strlen(doc)) AS BIGINT) AS bytes FROM docs GROUP BY 1"
+        "SELECT CASE WHEN page_id % 2 = 0 THEN 'even, 1' ELSE '{odd}' END AS crawl, r.* FROM docs, LATERAL (SELECT url AS uri,"
+        " md5(doc) AS doc_md5, CAST(strlen(doc) AS INTEGER) AS bytes) r"
     ),
     "scan_table": _from_crawl(
-        "SELECT url AS uri, crawl_date, charset, CAST(strlen(body) AS INTEGER) AS body_bytes FROM cap WHERE status = 200"
+        f"SELECT url AS uri, day AS crawl_date, charset, CAST(strlen(body) AS INTEGER) AS body_bytes FROM {_OTHER_DAY}"
+        " WHERE status = 200 AND day BETWEEN '2024-01-04' AND '2024-01-05'"
+    ),
+    "parse_where": _from_crawl(
+        f"SELECT page_id, url AS uri, status, charset, day FROM {_OTHER_DAY}"
+        " WHERE status <> 404 AND page_id >= 20 AND day BETWEEN '2024-01-04' AND '2024-01-05'"
     ),
     "scan_single_docs": _from_crawl(
         "SELECT url, status, charset, CAST(strlen(body) AS INTEGER) AS body_bytes, md5(body) AS body_md5 FROM cap"
     ),
-    "skip_open_files": _from_crawl(_RAW.format(doc="doc") + " WHERE page_id % 3 = 0"),
+    "skip_open_files": _from_crawl(_RAW.format(doc="doc") + " WHERE page_id % 9 < 3"),
     "sink_archive": _from_crawl(_RAW.format(doc="doc")),
+    "sink_archive_rolling": _from_crawl(f"SELECT count(*) AS records, CAST(sum(strlen(doc) + 4) AS BIGINT) AS bytes, {_ROLLED} FROM docs"),
     "sink_compression": _from_crawl(
-        "SELECT k AS compression, r.* FROM (" + _RAW.format(doc="doc") + ") r, (VALUES ('NONE'), ('BLOCK'), ('DEFAULT')) AS kinds(k)"
+        "SELECT k AS compression, stored, r.* FROM (" + _RAW.format(doc="doc") + ") r,"
+        " (VALUES ('NONE', 'NONE'), ('RECORD', 'RECORD'), ('BLOCK', 'BLOCK'), ('DEFAULT', 'BLOCK')) AS kinds(k, stored)"
     ),
-    "sink_table": _from_crawl(f"SELECT {_PARSED_COLUMNS}, crawl_date FROM cap"),
-    "sink_rolling": _from_crawl(
-        "SELECT count(*) AS records, CAST(sum(strlen(doc)) AS BIGINT) AS bytes, CAST(0 AS BIGINT) AS rolled_late, CAST(0 AS BIGINT) AS rolled_early FROM docs"
+    "sink_counts": _from_crawl(
+        """SELECT sink, count(*) AS records, CAST(sum(CASE WHEN sink LIKE 'archive%' THEN strlen(doc) + 4 WHEN sink = 'rolling' THEN strlen(doc)
+    WHEN sink IN ('table', 'stream') THEN strlen(request) + strlen(response) ELSE strlen(body) END) AS BIGINT) AS bytes
+FROM docs, (VALUES ('archive'), ('archive by task'), ('rolling'), ('table'), ('stream'), ('written'), ('rejected')) AS sinks(sink)
+WHERE sink NOT IN ('written', 'rejected') OR (strlen(body) > 3000) = (sink = 'rejected') GROUP BY 1"""
     ),
+    "sink_table": _from_crawl(f"SELECT {_PARSED_COLUMNS}, crawl_date FROM cap"),
+    "sink_rolling": _from_crawl(f"SELECT count(*) AS records, CAST(sum(strlen(doc)) AS BIGINT) AS bytes, {_ROLLED} FROM docs"),
     "named_fields": _from_crawl(
         "SELECT page_id, url, ip AS ip_address, digits AS crawl_time, CASE WHEN is_seed THEN 'true' ELSE 'false' END AS is_seed,"
         " seed_url, nullif(path, '') AS path_from_seed, via, CAST(5 + (CASE WHEN is_seed THEN 0 ELSE 2 END) AS INTEGER) AS n_fields FROM cap"
@@ -244,6 +259,10 @@ ORACLES: dict[str, str] = {
         f"SELECT url AS uri, CAST(strlen(body) AS INTEGER) AS body_bytes,"
         f" CASE WHEN strlen(body) > 3000 THEN '{UNWRITTEN_SIZE}' ELSE 'written' END AS annotation FROM cap"
     ),
+    "filter_size_split": _from_crawl(
+        f"SELECT url AS uri, CAST(strlen(body) AS INTEGER) AS body_bytes,"
+        f" CASE WHEN strlen(body) > 3000 THEN '{UNWRITTEN_SIZE}' ELSE 'written' END AS annotation, crawl_date FROM cap"
+    ),
     "filter_url_reject": _from_crawl(
         f"SELECT * FROM (SELECT page_id, {_ODD_URL} AS url FROM cap)"
         f" WHERE NOT regexp_matches(url, {_quoted(URL_REJECT)})"
@@ -277,13 +296,22 @@ FROM (SELECT {_ODD_URL} AS uri, body, response FROM cap)"""
     "parse_status": _from_crawl("SELECT url AS uri, status FROM cap"),
     "split_body": _from_crawl("SELECT url AS uri, md5(body) AS body_md5, CAST(strlen(body) AS INTEGER) AS bytes FROM cap"),
     "header_content_type": _from_crawl("SELECT page_id, lower(header) AS header FROM cap"),
-    "normalize_mime": _from_crawl("SELECT page_id, content_type FROM cap"),
-    "mime_params_charset": _from_crawl("SELECT page_id, CASE WHEN page_id % 5 < 3 THEN charset END AS charset FROM cap"),
-    "clean_charset": f"SELECT page_id, [{', '.join(_quoted(x) for x in _CLEAN)}][page_id % {len(LABELS)} + 1] AS charset FROM pages",
+    "normalize_mime": f"SELECT page_id, lower(CASE kind WHEN 0 THEN v || '/' || w WHEN 1 THEN v || '/' || w || '+xml' WHEN 3 THEN v || '/' || w END)"
+    f" AS content_type FROM ({_PAGE_WORDS})",
+    "mime_params_charset": f"SELECT page_id, upper(CASE kind WHEN 0 THEN v WHEN 1 THEN CASE WHEN v IS NOT NULL THEN w END WHEN 2 THEN v END)"
+    f" AS charset FROM ({_PAGE_WORDS})",
+    "clean_charset": f"""SELECT page_id, upper(CASE kind WHEN 0 THEN v WHEN 1 THEN CASE WHEN w IS NOT NULL THEN v END
+  WHEN 2 THEN CASE WHEN v IS NOT NULL THEN 'ISO-8859-1' END WHEN 3 THEN CASE WHEN v IS NOT NULL THEN 'UTF-8' END ELSE v || '_' || w || '-1' END)
+  AS charset FROM ({_PAGE_WORDS})""",
     "sniff_xml_encoding": "SELECT page_id, CASE WHEN page_id % 5 = 4 THEN 'KOI8-R' END AS encoding FROM pages",
     "sniff_meta": "SELECT page_id, CASE WHEN page_id % 5 = 3 THEN 'text/html' END AS content_type,"
     " CASE WHEN page_id % 5 = 3 THEN 'WINDOWS-1252' END AS charset FROM pages",
     "detect_charset": _from_crawl("SELECT url AS uri, content_type, charset FROM cap"),
+    "detect_html5_charset": _from_crawl(
+        f"""SELECT url AS uri, content_type, CASE WHEN found THEN declared ELSE charset END AS charset
+FROM (SELECT *, [{', '.join('NULL' if x is None else _quoted(x) for x in _HEAD_CHARSETS)}][page_id % {len(HEADS)} + 1] AS declared,
+        declared IS NOT NULL AND page_id % 5 NOT IN (2, 3, 4) AS found FROM cap)"""
+    ),
     "decode_text": f"""SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS chars
 FROM (SELECT page_id, CASE WHEN kind IN (0, 3) THEN html WHEN kind IN (1, 2) THEN {_NARROW}
     ELSE regexp_replace(html, '[^\\x00-\\x7e]', '?', 'g') || [{', '.join(_quoted(x) for _, x in PHRASES)}][kind - 3] END AS t
@@ -300,14 +328,14 @@ FROM (SELECT page_id, CASE WHEN kind IN (0, 3) THEN html WHEN kind IN (1, 2) THE
 FROM (WITH {_canonical('cap', _VARIANT, 'page_id')}
   SELECT page_id, canonical, CAST(CAST('0x' || substring(md5(canonical), 3, 14) AS UBIGINT) AS HUGEINT) * 256 AS h FROM canon)"""
     ),
-    "dedupe_captures": _from_crawl(
+    **dict.fromkeys(("dedupe_captures", "dedupe_table"), _from_crawl(
         f"""SELECT 'http://www.h' || page || '.com/a/' AS canonical_url, uri, page_id, crawl_time, md5(response) AS response_md5
 FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY ts DESC, uri) AS rn
   FROM (SELECT page_id, ts, crawl_time, response, {_RECRAWL_PAGE} AS page,
           'http://' || CASE WHEN page_id % 2 = 0 THEN 'www.' ELSE '' END || 'h' || ({_RECRAWL_PAGE}) || '.com/a'
           || CASE WHEN page_id % 5 = 0 THEN '/index.html' ELSE '' END || '#' || page_id AS uri FROM cap))
 WHERE rn = 1"""
-    ),
+    )),
     "extract_elements": f"""WITH {_LINKS}
 SELECT page_id, CAST(pos AS INTEGER) AS pos, '<a href="' || href || '">' AS tag FROM plain UNION ALL {_TAGS}""",
     "extract_attributes": f"""WITH {_LINKS}
@@ -317,8 +345,8 @@ FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li(?:\\s[^>]*)?>(.*
              generate_subscripts(regexp_extract_all(html, '(?is)<li(?:\\s[^>]*)?>(.*?)</li>', 1), 1) AS pos FROM pages)""",
     "base_href": f"WITH {_LINKS} SELECT page_id, base_url FROM hosts",
     "extract_links": f"WITH {_LINKS} SELECT url AS src_url, base_url, CAST(pos AS INTEGER) AS pos, href FROM links",
-    "resolve_links": f"""WITH {_LINKS}
-SELECT url AS src_url, CAST(pos AS INTEGER) AS pos, href, target_url, is_internal FROM judged WHERE target_url IS NOT NULL""",
+    **dict.fromkeys(("resolve_links", "page_links"), f"""WITH {_LINKS}
+SELECT url AS src_url, CAST(pos AS INTEGER) AS pos, href, target_url, is_internal FROM judged WHERE target_url IS NOT NULL"""),
     "count_links": f"""WITH {_LINKS}
 SELECT src_host AS host, count(*) FILTER (WHERE is_internal) AS internal, count(*) FILTER (WHERE NOT is_internal) AS "external",
        count(*) FILTER (WHERE target_url IS NULL) AS unresolved FROM judged GROUP BY 1""",

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ROLL_BYTES
-from .archive import check_roll_size
+from .archive import Written, check_roll_size
+from .counted import WriteCount
 
 
 def assign_files(df: DataFrame, max_bytes: int = ROLL_BYTES, size: Column | None = None, to: str = "file_no") -> DataFrame:
@@ -45,8 +46,10 @@ def assign_files(df: DataFrame, max_bytes: int = ROLL_BYTES, size: Column | None
     return df.withColumn(to, F.pandas_udf(number, "int").asNondeterministic()(sizes))
 
 
-def sink_rolling(df: DataFrame, path: str, max_bytes: int = ROLL_BYTES, size: Column | None = None, mode: str = "errorifexists") -> None:
-    """Write Parquet files that hold at most ``max_bytes`` of documents plus one record.
+def sink_rolling(df: DataFrame, path: str, max_bytes: int = ROLL_BYTES, size: Column | None = None, mode: str = "errorifexists") -> Written:
+    """Write Parquet files that hold at most ``max_bytes`` of documents plus one record; returns what was written.
 
     Each task writes its own files, one per file number."""
-    assign_files(df, max_bytes, size).write.mode(mode).partitionBy("file_no").parquet(path)
+    seen = WriteCount(F.octet_length("doc") if size is None else size)
+    seen.of(assign_files(df, max_bytes, size)).write.mode(mode).partitionBy("file_no").parquet(path)
+    return seen.written()

@@ -18,6 +18,7 @@ from ..operators.filters import URL_REJECT, filter_size, filter_url_reject
 from ..operators.parse import parse_records
 from ..schema import MAX_CONTENT_BYTES, RAW, FieldNames
 from ..sources.archive import finished_files_glob
+from ..sources.counted import WRITTEN, content_bytes, counts
 from ..sources.table import DATE
 
 
@@ -45,10 +46,12 @@ def stream_ingest(
     """Start the ingest of a stream of RAW rows into a capture table.
 
     ``transform`` is applied to the parsed captures, ``stream_filter`` for example.
-    Records with a bad envelope stay in the table with their ``error``."""
+    Records with a bad envelope stay in the table with their ``error``. Each batch counts what it writes: see
+    ``stream_written``."""
     captures = parse_records(raw, names)
     if transform is not None:
         captures = transform(captures)
+    captures = captures.observe(WRITTEN, *counts(content_bytes(captures)))
     writer = (
         captures.withColumn(DATE, F.to_date("crawl_time"))
         .writeStream.format("parquet")
