@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import materialize
 from . import words as W
+from .memory import tidy
 
 WINDOW = 13
 #: Words of a block. One block decides how far the search may skip.
@@ -119,6 +120,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], window: int, column:
     schema = T.StructType([*docs.schema.fields, T.StructField("_hits", T.ArrayType(T.ArrayType(T.IntegerType()))),
                            T.StructField("_items", T.ArrayType(T.StringType())), T.StructField("_n_words", T.LongType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = None
         for batch in batches:

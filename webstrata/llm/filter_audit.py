@@ -26,6 +26,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sources.scratch import fresh_dir, materialize
 from . import words as W
+from .memory import tidy
 
 FILTERS = "ABCDE"
 BIT = {name: 1 << i for i, name in enumerate(FILTERS)}
@@ -65,6 +66,7 @@ def _masked(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     part = F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
@@ -103,6 +105,7 @@ def _combined(rows: DataFrame) -> DataFrame:
     """Combine in each task, so that a text with a third of all documents sends on a few rows only."""
     order = [f.name for f in T.StructType.fromDDL(_ROW)]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("text_key", pa.binary()), ("mask", pa.int32()), ("least_id", pa.int64()), ("part", pa.string()), ("good", pa.bool_()),
                             ("toxic", pa.bool_()), ("at_least", pa.int64()), ("above", pa.int64()), ("no_id", pa.int64())])

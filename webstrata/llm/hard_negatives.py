@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
+from .memory import tidy
 
 #: Most rows of a shard and of a block of anchors, and bytes of a shard's fields; a tile is one block times one shard.
 SHARD_ROWS = 4096
@@ -90,6 +91,7 @@ class Fields:
 def _shards(rows: DataFrame, fields: Fields) -> DataFrame:
     """Pack rows where they are into shards of vectors of equal length, sorted by id; no shuffle."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -158,6 +160,7 @@ def _searched(shards: DataFrame, anchors: DataFrame, fields: Fields, k: int, win
         "group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import fresh_dir, materialize
 from . import words as W
+from .memory import tidy
 
 #: Code points that a line has at least, and documents that hold it at least, to be dropped.
 LEAST_CHARS, LEAST_DOCS = 20, 3
@@ -53,6 +54,7 @@ def _held_lines(docs: DataFrame, cuts: list[float], least_chars: int) -> DataFra
     batch = F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(batch).cast("int")
     rows = docs.select(batch.alias("batch"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_tag"), text.alias("text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
@@ -194,6 +196,7 @@ def drop_repeated_lines(
         [rows.schema["rest"], T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
     )
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = looked_up.value if looked_up else None
         for batch in batches:

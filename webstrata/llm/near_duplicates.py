@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..sources.scratch import materialize
 from . import words as W
 from .components import components
+from .memory import tidy
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -88,6 +89,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     Texts of equal words have equal digests, whatever stands between the words. A text without words has
     the digest of its bytes, a null text none."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column("text").cast("binary").to_pylist()
@@ -158,6 +160,7 @@ def candidate_pairs(entries: DataFrame, most: int) -> DataFrame:
     are never paired. A node paired with itself only has candidates among ``NEIGHBOURS``. A row without ``b`` names
     in ``a`` a bucket at the edge of a task, whose rows may stand in two."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         edges: list[int] = []
@@ -220,6 +223,7 @@ def _sequences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles): the labelled shingles, 4 bytes each, of the nodes' texts."""
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
@@ -240,6 +244,7 @@ def _sequences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     """The pairs whose texts are similar."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (batch.column(c).to_pylist() for c in ("left", "right"))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import materialize
 from . import words as W
+from .memory import tidy
 from .pretokens import encoder
 
 #: Pieces that are packed together in one task. Each task leaves at most a few sequences
@@ -50,12 +51,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int) -> DataFrame:
 
     ``tokenizer`` is the path of a byte-level BPE file. No null documents are lost: a null text is empty."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             texts = W.texts_of(batch.column("text"))
-            for part in W.blocks([len(t) for t in texts], 2 * W.BLOCK):
+            for part in W.blocks([len(t) for t in texts], W.BLOCK):
                 rows = []
                 tokens, first = encode(texts[part])
                 for k, doc_id in enumerate(ids[part]):

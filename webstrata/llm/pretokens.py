@@ -15,13 +15,15 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
+from .memory import forgotten_after_tasks
+
 _LETTER, _NUMBER, _SPACE, _OTHER = 1, 2, 3, 0
 #: White space of Unicode. Fixed values.
 _WHITE = (9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 #: Contractions of the pattern after an apostrophe. Fixed values.
 _SHORT, _LONG = "stmd", ("re", "ve", "ll")
-#: Distinct pre-tokens that a worker remembers; it forgets them all when there are more.
-REMEMBER = 400_000
+#: Distinct pre-tokens that a task remembers, some 60 MB; of more it keeps those of the texts at hand.
+REMEMBER = 150_000
 
 #: The sign that stands for each byte in the vocabulary: printable ones for themselves, the others
 #: for the code points from 256 on, in order.
@@ -100,13 +102,22 @@ class Encoder:
         self.begin = np.zeros(1, dtype=np.int64)  # in self.ids, of each known pre-token, and the end
         self.ids = np.zeros(0, dtype=np.uint32)
 
+    def _keep(self, some: list[tuple[bytes, int]]) -> None:
+        """Forget all pre-tokens but some of the known ones."""
+        at = np.array([code for _, code in some], dtype=np.int64)
+        starts, sizes = self.begin[at], self.begin[at + 1] - self.begin[at]
+        until = np.cumsum(sizes)
+        self.ids = self.ids[np.repeat(starts - (until - sizes), sizes) + np.arange(until[-1] if len(some) else 0)]
+        self.begin = np.concatenate([[0], until]).astype(np.int64)
+        self.known = {t: i for i, (t, _) in enumerate(some)}
+
     def _codes(self, tokens: list[bytes]) -> np.ndarray:
         """Numbers of the pre-tokens among the known ones; encodes those that are new."""
         codes = list(map(self.known.get, tokens))
         new = [t for t, code in zip(tokens, codes) if code is None]
         if new:
-            if len(self.known) + len(new) > REMEMBER and self.known:
-                self._forget()
+            if len(self.known) + len(new) > REMEMBER and len(self.known) + len(new) > len(tokens):
+                self._keep([(t, code) for t, code in zip(tokens, codes) if code is not None])
                 return self._codes(tokens)
             tokenize = self.tokenizer.model.tokenize
             coded = [[t.id for t in tokenize(word.decode("latin-1").translate(_BYTE_SIGNS))] for word in new]
@@ -169,8 +180,14 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+@forgotten_after_tasks
+def _forget_pretokens() -> None:
+    for one in _encoders.values():
+        one._forget()
+
+
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file; later tasks go on with what it knows."""
+    """The worker's encoder for a vocabulary file; it keeps the vocabulary, and pre-tokens until the task ends."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..sources.scratch import materialize
 from . import words as W
+from .memory import tidy
 
 #: Labelled rows that the classifier is fitted on: those with the smallest hashes of their ids. The bound of
 #: what training may cost; counts for choosing features are taken over the same rows.
@@ -132,6 +133,7 @@ def _counts(rows: DataFrame) -> DataFrame:
     """(feature, toxic rows, other rows) of all features that occur."""
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("feature", "toxic", "other")])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << FEATURE_BITS
         sums = np.zeros((2, size), dtype=np.int64)
@@ -174,6 +176,7 @@ def _designs(rows: DataFrame, features: np.ndarray) -> pa.Table:
     known = np.zeros(1 << FEATURE_BITS, dtype=bool)
     known[features] = True
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.texts_of(batch.column("text"))

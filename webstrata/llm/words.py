@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from .memory import forgotten_after_tasks
+
 BLOCK = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -25,11 +27,17 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 
+@forgotten_after_tasks
+def _forget_powers() -> None:
+    global _powers
+    _powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
+
+
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), BLOCK)
+        size = max(n, BLOCK + BLOCK // 8)  # a block and what stands between its texts
         grown = []
         for factor in (_BASE, _INVERSE):
             steps = np.full(size, factor, dtype=np.uint64)
