@@ -5,6 +5,7 @@ import hashlib
 import os
 import random
 import re
+import subprocess
 import sys
 import unicodedata
 import zlib
@@ -188,6 +189,49 @@ def test_ordered_similarity_is_sensitive_to_order():
     assert near_duplicates.ordered_similarity(a, np.concatenate([a[:50], [999], a[51:]]).astype(np.uint32), 0.8) == 99 / 101
 
 
+def test_columns_with_the_operators_own_names(spark, texts):
+    """Every operator that returns the caller's columns keeps their values, whatever they are called."""
+    names = ["_keep_id", "_keep_key", "keep_id", "keep_key", "a", "b", "first", "row", "class_id", "class_no", "kept", "none", "c0", "_text", "_hits", "_items",
+             "_n_words", "_all_hits", "n_hit", "items", "hits", "contaminated", "n_words", "_count", "n", "doc", "entities", "place", "new", "entity"]
+    rows = [(i, t, *[f"{k}/{name}" for name in names]) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    given = {tuple(r) for r in rows}
+    kept = near_duplicates.without_near_duplicates(docs)
+    assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= given and kept.count() == len(classes(texts))
+    bench = spark.createDataFrame([(1, " ".join(texts[0][1].split()[:40]))], "item_id long, text string")
+    clean = decontamination.without_contaminated(docs, bench)
+    assert clean.columns == docs.columns and {tuple(r) for r in clean.collect()} == {r for r in given if " ".join(texts[0][1].split()[:13]) not in (r[1] or "")}
+    masked = pii.pseudonymize(docs, "key", count=None)
+    assert masked.columns == docs.columns and {tuple(r) for r in masked.collect()} == given
+    counted = pii.pseudonymize(docs, "key", count="n")
+    assert counted.columns == [*[c for c in docs.columns if c != "n"], "n"] and {r["n"] for r in counted.collect()} == {0}
+
+
+def test_windows_longer_than_a_byte(spark):
+    own = [f"w{i}" for i in range(700)]
+    docs = spark.createDataFrame([(1, " ".join(["x"] * 9 + own + ["y"])), (2, " ".join(own[:299] + ["x"] + own[300:600]))], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", " ".join(own)), ("b", " ".join(own[:300]))], "item_id string, text string")
+    found = decontamination.find_benchmark(docs, bench, ["doc_id"], window=300)
+    assert {(r.doc_id, r.n_hit, ",".join(r["items"])) for r in found.collect()} == {(1, 700, "a,b"), (2, 300, "a")}
+
+
+def test_tables_take_a_bounded_multiple_of_the_benchmark():
+    script = """
+import random, resource, sys
+from webstrata.llm import decontamination as D
+dice = random.Random(1)
+words = [f"word{i:05d}" for i in range(50_000)]
+texts = [" ".join(dice.choices(words, k=2_000)).encode() for _ in range(420)]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+tables = D.tables_of(texts)
+assert sum(map(len, texts)) > 8_000_000
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    grown = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, cwd=root).stdout
+    assert int(grown) < 300
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (4, 4), (None, 1), (9, 8), (8, 9), (7, 9)], "a long, b long")
     assert {tuple(r) for r in components.components(links).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (7, 7), (8, 7), (9, 7)}

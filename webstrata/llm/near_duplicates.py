@@ -420,9 +420,10 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows that repeat a kept one (same id, same text) are dropped with the rest of the class."""
     classes = near_duplicates(docs.select("doc_id", "text"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("_last"), F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_key")))
-    keep = classes.groupBy("class_id", "class_no").agg(first.alias("_first")).select("_first._keep_id", "_first._keep_key")
-    keyed = docs.withColumns({"_keep_key": text_key(F.col("text").cast("string")), "_keep_id": F.col("doc_id").cast("long")})
-    same = [keyed[c].eqNullSafe(keep[c]) for c in ("_keep_id", "_keep_key")]
-    kept = keyed.join(keep, same[0] & same[1], "left_semi")
-    return kept.dropDuplicates(["_keep_id", "_keep_key"]).select(*docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key"))
+    keep = classes.groupBy("class_id", "class_no").agg(first.alias("first")).select(F.col("first.doc_id").alias("a"), F.col("first.text_key").alias("b"))
+    # the caller's columns are packed, so that no name of theirs can be taken for one of these
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("keep_id"), text_key(F.col("text").cast("string")).alias("keep_key"))
+    kept = keyed.join(keep, F.col("keep_id").eqNullSafe(F.col("a")) & F.col("keep_key").eqNullSafe(F.col("b")), "left_semi")
+    return kept.dropDuplicates(["keep_id", "keep_key"]).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

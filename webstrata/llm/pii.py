@@ -297,7 +297,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | Non
     names = [c for c in docs.columns if c != count]
     columns = [F.col(f"`{c}`") for c in names]
     plain = docs.select(F.struct(*columns).alias("doc"), found_in(F.col(text).cast("string")).alias("entities"))
-    without = plain.where(F.size("entities") == 0).select("doc.*", F.lit(0).alias("_count"))
+    without = plain.where(F.size("entities") == 0).select("doc", F.lit(0).alias("n"))
     holders = materialize(plain.where(F.size("entities") > 0).withColumn("row", F.monotonically_increasing_id()), "holders")
     each = holders.select("row", F.posexplode("entities").alias("place", "entity"))
     each = each.selectExpr("*", f"{_kind()} AS kind").selectExpr("*", f"{_normal('entity')} AS norm")
@@ -309,6 +309,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", count: str | Non
     news = F.concat(F.col("new.new"), F.array(F.lit("")))
     changed = F.array_join(F.zip_with(between, news, lambda a, b: F.concat(a, b)), "")
     replaced = [changed.alias(text) if c == text else F.col(f"doc.`{c}`").alias(c) for c in names]
-    with_some = holders.join(by_row, "row").select(*replaced, F.size("entities").alias("_count"))
-    out = without.unionByName(with_some)
-    return out.withColumnRenamed("_count", count) if count else out.drop("_count")
+    with_some = holders.join(by_row, "row").select(F.struct(*replaced).alias("doc"), F.size("entities").alias("n"))
+    # columns are unpacked last, so that no name of the caller's can be taken for one of these
+    unpacked = [F.col(f"doc.`{c}`").alias(c) for c in names] + ([F.col("n").alias(count)] if count else [])
+    return without.unionByName(with_some).select(*unpacked)

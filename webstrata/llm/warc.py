@@ -13,12 +13,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import fresh_dir, materialize
+from ..sources.task_files import file_system, qualified
 
 #: Payloads of at least this many bytes are stored once.
 LEAST_SHARED = 100
@@ -37,15 +37,11 @@ RECORDS = "page_id bigint, payload_bytes bigint, payload_digest string, record_t
 INDEX = "archive string, offset bigint, length bigint, record_type string, record_id string, uri string"
 
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 class _Output:
     """A file that appears under its name only when it is complete."""
 
     def __init__(self, path: str):
-        self.system, self.path = _file_system(path)
+        self.system, self.path = file_system(path)
         self.system.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.part = f"{self.path}.{uuid.uuid4().hex}.part"
         self.stream = self.system.open_output_stream(self.part, compression=None)
@@ -113,6 +109,8 @@ def capture_records(pages: DataFrame) -> DataFrame:
 def write_archives(records: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z", max_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write ``capture_records`` rows to archives that are one gzip stream each; (archive, n_records) of every file."""
 
+    folder = qualified(records.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, out = TaskContext.get().partitionId(), 0, None
         done = []
@@ -144,7 +142,7 @@ class _Inflated:
     """The inflated bytes of a gzip file, of one member or many, read as a stream."""
 
     def __init__(self, path: str):
-        system, name = _file_system(path)
+        system, name = file_system(path)
         self.path, self.stream = path, system.open_input_stream(name, compression=None)
         self.inflate, self.buffer, self.fresh = zlib.decompressobj(_GZIP), b"", True
 
@@ -200,6 +198,8 @@ def normalise_archives(archives: DataFrame, folder: str) -> DataFrame:
     index: ``archive``, ``offset``, ``length``, ``record_type``, ``record_id``, ``uri``. Records come out byte for
     byte. A file that ends early or holds something else raises an error that names it."""
 
+    folder = qualified(archives.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("archive").to_pylist():
@@ -245,7 +245,7 @@ def read_records(index: DataFrame) -> DataFrame:
             rows = []
             for archive, offset, length in zip(*(batch.column(c).to_pylist() for c in ("archive", "offset", "length"))):
                 if archive != opened:
-                    system, name = _file_system(archive)
+                    system, name = file_system(archive)
                     opened, file = archive, system.open_input_file(name)
                 file.seek(offset)
                 inflate = zlib.decompressobj(_GZIP)
@@ -274,6 +274,6 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
     One row per page, repeated rows included; a null html is an empty payload, a null url is left out of the record,
     a null id stays null. ``folder`` gets ``plain/`` and ``normal/`` with the archives and their indexes."""
-    folder = folder or fresh_dir(pages.sparkSession, "warc")
+    folder = qualified(pages.sparkSession, folder or fresh_dir(pages.sparkSession, "warc"))
     written = write_archives(capture_records(pages), f"{folder}/plain")
     return read_records(normalise_archives(written, f"{folder}/normal"))
