@@ -22,9 +22,7 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no more than a trace of the benchmark."""
-    columns = docs.columns
-    found = decontamination.find_benchmark(docs, table(spark, sf_dir, "benchmark"), columns)
-    return found.where(~F.col("contaminated")).select(*columns)
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
