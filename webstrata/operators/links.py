@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import bytesview as B
 from ..functions import html as H
 from ..functions import urls as U
+from ..functions.stages import cut
 
 
 def _text(captures: DataFrame, body: str):
@@ -45,7 +46,7 @@ def with_base(captures: DataFrame, url: str = "url", body: str = "body") -> Data
     keep = [c for c in captures.columns if c != "base_url"]
     df = captures.withColumn("_tag", H.first_tag(H.element_content(_text(captures, body), "head"), "base"))
     df = df.withColumn("_href", F.when(F.col("_tag") != "", H.attribute(F.col("_tag"), "href")))
-    df = U.with_base_parts(df, url, "_page")
+    df = cut(U.with_base_parts(df, url, "_page"), "base")
     df = U.with_resolved(df, "_href", "_named", "_page")
     named = F.when(F.col("_href") != "", F.col("_named"))
     return df.select(*keep, F.coalesce(named, F.col(url)).alias("base_url"))

@@ -8,7 +8,6 @@ text pass over a body is the search for a declaration, for bodies it applies to.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import bytesview as B
 from ..functions import mime as M
 from ..functions import urls as U
+from ..functions.stages import cut
 from ..schema import BAD_HEADER, CAPTURE, MAGIC, TRUNCATED, VERSION, FieldNames
 
 
@@ -185,6 +185,7 @@ def parse_records(
         B.after(c("_tail"), size).alias("response"),
     )
 
+    df = cut(df, "split")
     df = B.with_blank_line(df, "response", "_head_len", "_head_gap")
     df = df.select(
         *[x for x in df.columns if x not in ("_head_len", "_head_gap")],
@@ -208,6 +209,7 @@ def parse_records(
     df = df.select("*", named.alias("_named"))
     df = df.select("*", F.coalesce(M.charset_label(c("_meta")), c("_named"), M.charset_label(c("_ct"))).alias("_label"))
 
+    df = cut(df, "declared")
     df = df.select("*", _entries(c("_block")).alias("_entries"))
 
     status = F.regexp_extract("_head", r"\A\S*\s+(\d+)", 1).try_cast("int")
@@ -226,10 +228,9 @@ def parse_records(
         "charset": F.coalesce(F.when(c("_xml"), M.xml_encoding(c("_found"))), M.clean_charset(c("_label"))),
     }
     df = df.select(*extra, *[columns.get(f.name, c(f.name)).alias(f.name) for f in CAPTURE.fields])
-    # Counting the records also keeps filters on the result above this point. Moved
-    # below, a filter would repeat the expressions of all steps, over and over, to
-    # compute its column a second time. Unused columns are still pruned.
-    df = df.observe(f"parse-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+    # Filters on the result stay above this point. Moved below, a filter would repeat the expressions of all steps, over
+    # and over, to compute its column a second time.
+    df = cut(df, "parse")
     return reduce(DataFrame.where, later, df)
 
 

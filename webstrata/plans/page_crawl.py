@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.stages import cut
 from ..functions.urls import host
 from ..operators.assemble import encode_record
 
@@ -101,7 +102,7 @@ def crawl(pages: DataFrame, lineage: bool = False) -> DataFrame:
         F.encode(F.concat(head, body_text()), "UTF-8").alias("response"),
     ]
     if not lineage:
-        return df.select(*columns)
+        return cut(df.select(*columns), "crawl")
     urls = pages.select("page_id", "url")
     parent = urls.select((F.col("page_id") + 1).alias("_child"), F.col("url").alias("_via"))
     seed = urls.where("page_id % 10 = 0").select(F.col("page_id").alias("_seed_id"), F.col("url").alias("_seed"))
@@ -114,12 +115,12 @@ def crawl(pages: DataFrame, lineage: bool = False) -> DataFrame:
             F.when(F.col("is_seed"), F.lit("")).otherwise(F.col("_seed")).alias("seed_url"),
         )
     )
-    return out
+    return cut(out, "crawl")
 
 
 def raw_crawl(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """RAW rows of the crawl."""
-    return encode_record(crawl(read_pages(spark, sf_dir), lineage))
+    return cut(encode_record(crawl(read_pages(spark, sf_dir), lineage)), "raw")
 
 
 def linked_pages(pages: DataFrame) -> DataFrame:

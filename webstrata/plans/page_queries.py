@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import bytesview as B
 from ..functions import mime as M
 from ..functions import urls as U
+from ..functions.stages import cut
 from ..operators import assemble, dedupe, filters, lineage, links, parse, text
 from ..schema import MAGIC, RAW, FieldNames
 from ..sources import archive, documents, rolling, table
@@ -330,7 +331,7 @@ def filter_has_request(spark, sf_dir):
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = assemble.encode_record(crawl(read_pages(spark, sf_dir)), keep=("page_id",))
+    raw = cut(assemble.encode_record(crawl(read_pages(spark, sf_dir)), keep=("page_id",)), "raw")
     doc = (
         F.when(c("page_id") % 7 == 1, F.substring("doc", 1, 10))
         .when(c("page_id") % 7 == 2, F.concat(F.lit(MAGIC.replace(b"0.3", b"0.1")), B.after(c("doc"), len(MAGIC))))
@@ -498,20 +499,23 @@ PHRASES = [
 @_query
 def decode_text(spark, sf_dir):
     """Pages in UTF-8, ISO-8859-1, Windows-1252 and UTF-16LE, or in ASCII with a phrase in another charset."""
-    pages = read_pages(spark, sf_dir)
-    kind = c("page_id") % (4 + len(PHRASES))
     line = F.concat(c("html"), F.lit("\r\n"))
     # Only characters that ISO-8859-1 has, where the bytes are in it.
     narrow = F.regexp_replace(line, "[^\\x00-\\x7e\\xa0-\\xff]", "?")
-    plain = F.encode(F.regexp_replace("html", "[^\\x00-\\x7e]", "?"), "US-ASCII")
-    in_latin, in_utf16 = F.encode(narrow, "ISO-8859-1"), F.encode(line, "UTF-16LE")
-    body, charset = F.when(kind == 0, F.encode(line, "UTF-8")), F.when(kind == 0, "UTF-8")
+    pages = read_pages(spark, sf_dir).select(
+        "page_id", (c("page_id") % (4 + len(PHRASES))).alias("kind"), F.encode(line, "UTF-8").alias("in_utf8"),
+        F.encode(F.regexp_replace("html", "[^\\x00-\\x7e]", "?"), "US-ASCII").alias("plain"),
+        F.encode(narrow, "ISO-8859-1").alias("in_latin"), F.encode(line, "UTF-16LE").alias("in_utf16"),
+    )
+    pages, kind = cut(pages, "encoded"), c("kind")
+    plain, in_latin, in_utf16 = c("plain"), c("in_latin"), c("in_utf16")
+    body, charset = F.when(kind == 0, c("in_utf8")), F.when(kind == 0, "UTF-8")
     for k, (bytes_, name) in enumerate([(in_latin, None), (in_latin, "WINDOWS-1252"), (in_utf16, "UTF-16LE")], 1):
         body, charset = body.when(kind == k, bytes_), charset.when(kind == k, name)
     for k, (name, phrase) in enumerate(PHRASES, 4):
         coded = phrase.encode(codecs.lookup(name.removeprefix("X-")).name)
         body, charset = body.when(kind == k, F.concat(plain, F.lit(coded + b"\r\n"))), charset.when(kind == k, name)
-    decoded = text.decode_text(pages.select("page_id", body.alias("body"), charset.alias("charset")))
+    decoded = text.decode_text(cut(pages.select("page_id", body.alias("body"), charset.alias("charset")), "bodies"))
     return decoded.select("page_id", F.md5(F.encode("text", "UTF-8")).alias("text_md5"), F.length("text").alias("chars"))
 
 
