@@ -14,6 +14,7 @@ from __future__ import annotations
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 from itertools import permutations
 
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..sources.scratch import fresh_dir, materialize
+from ..sources.task_files import qualified
 from . import words as W
 from .memory import tidy
 
@@ -165,6 +167,24 @@ def _size_of(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+@contextmanager
+def _plain_file_manager(spark: SparkSession, folder: str) -> Iterator[None]:
+    """On a local or mounted folder, streams started in here write their state without Hadoop's ``FileContext``, which starts
+    several processes for each file there. A stream keeps the settings that it was started with."""
+    name, before = "spark.sql.streaming.checkpointFileManagerClass", None
+    on_disk = qualified(spark, folder).startswith("file:")
+    if on_disk:
+        before = spark.conf.get(name, None)
+        spark.conf.set(name, "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager")
+    try:
+        yield
+    finally:
+        if before is not None:
+            spark.conf.set(name, before)
+        elif on_disk:
+            spark.conf.unset(name)
+
+
 def stream_counters(spark: SparkSession, path: str, labels: DataFrame, micro_batches: int = MICRO_BATCHES) -> DataFrame:
     """(part, mask, n, good, toxic): documents of each part that fail exactly the filters of a mask.
 
@@ -183,7 +203,9 @@ def stream_counters(spark: SparkSession, path: str, labels: DataFrame, micro_bat
     changes = rows.groupBy("bucket").applyInPandasWithState(_update, _CHANGE, _STATE, "append", GroupStateTimeout.NoTimeout)
     out = fresh_dir(spark, "counter-changes")
     writer = changes.writeStream.format("parquet").option("path", out).option("checkpointLocation", fresh_dir(spark, "audit-checkpoint"))
-    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    with _plain_file_manager(spark, out):
+        query = writer.outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
     summed = spark.read.schema(_CHANGE).parquet(out).groupBy("part", "mask")
     return summed.agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("good"), F.col("n")).otherwise(0)).alias("good"),
