@@ -135,3 +135,38 @@ def test_only_multi_byte_rows_go_to_python(spark):
     plan = decode_text(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "CASE WHEN" in plan
+
+
+HTML5 = [
+    ('<meta charset="windows-1251">', "WINDOWS-1251"),
+    ("<META CHARSET = 'Big5' >", "BIG5"),
+    ("<meta charset=utf8/>", "UTF-8"),
+    ('<meta name="a" content=\'x charset="no"\' charset=koi8-r>', "KOI8-R"),
+    ("<meta/charset=koi8-r>", "KOI8-R"),
+    ('<meta name="description" content="charset=big5">', None),
+    ("<meta charsets=big5>", None),
+    ("<meta data-charset=big5>", None),
+    ("<metacharset=big5>", None),
+    ("<!-- <meta charset=big5> --><meta charset=koi8-r>", "KOI8-R"),
+    ("<!-- <meta charset=big5> -->", None),
+    ("</head><meta charset=big5>", None),
+    ('<meta http-equiv="Content-Type" charset="big5">', "BIG5"),
+    ('<meta http-equiv="Content-Type" content="text/html; charset=koi8-r" charset="big5">', "BIG5"),
+    (META, "WINDOWS-1252"),
+    (META + '<meta charset="big5">', "WINDOWS-1252"),
+    ('<meta charset="">', None),
+    ("<meta " + "a=b " * 20_000 + "charset=big5>", "BIG5"),
+    ("<meta " + "a=b " * 20_000 + ">", None),
+]
+
+
+def test_html5_charsets(spark):
+    head = MAGIC + b"URL: http://a.com/\r\n\r\nGET / HTTP/1.0\r\n\r\nHTTP/1.0 200 OK\r\n"
+    rows = [(str(i), bytearray(head + b"\r\n<html><head>" + body.encode())) for i, (body, _) in enumerate(HTML5)]
+    raw = spark.createDataFrame(rows, "uri string, doc binary")
+    got = {int(r.uri): r for r in parse_records(raw, html5=True).collect()}
+    for i, (body, want) in enumerate(HTML5):
+        assert got[i].charset == want, body
+        assert got[i].content_type == ("text/html" if want else None), body
+    plain = {int(r.uri): r.charset for r in parse_records(raw).collect()}
+    assert {plain[i] for i in plain} == {None, "WINDOWS-1252", "KOI8-R"}  # by http-equiv alone

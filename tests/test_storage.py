@@ -271,9 +271,13 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     raw.repartition(3).write.parquet(source)
 
+    counted = []
+
     def ingest():
         rows = stream_rows(spark, source, max_files=1)
-        stream_ingest(rows, target, state, transform=lambda df: stream_filter(df, 5000)).awaitTermination()
+        query = stream_ingest(rows, target, state, transform=lambda df: stream_filter(df, 5000))
+        query.awaitTermination()
+        counted.append(stream_written(query).records)
         return scan_table(spark, target)
 
     columns = ["uri", "status", "content_type", "charset", "body", "fields"]
@@ -287,6 +291,7 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     more = raw.where(F.col("uri") == passing).limit(1).withColumn("uri", F.lit("http://new/"))
     more.write.mode("append").parquet(source)
     again = ingest()
+    assert counted == [want.count(), 1]
     assert again.count() == want.count() + 1 and again.where("uri = 'http://new/'").count() == 1
 
 

@@ -14,7 +14,7 @@ import importlib
 import pkgutil
 import re
 from encodings.aliases import aliases
-from functools import cache
+from functools import cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -37,6 +37,9 @@ def _key(label: str) -> str:
     return re.sub("[^A-Z0-9]", "", label.upper())
 
 
+_COMMON_LABELS = ("UTF-8", "ISO-8859-1", "WINDOWS-1252", "US-ASCII")
+
+
 @cache
 def codecs_by_label() -> dict[str, str]:
     """Codec of every registered label, in capital letters and digits only."""
@@ -70,10 +73,14 @@ def _map(pairs: dict[str, str]) -> Column:
 
 
 def label(charset: Column) -> Column:
-    """Codec of a charset label; null for unknown ones."""
+    """Codec of a charset label; null for unknown ones.
+
+    The commonest spellings are compared first; only others are looked up among all."""
     known = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in codecs_by_label().items()) + ")")
     key = F.regexp_replace(F.upper(charset), "[^A-Z0-9]", "")
-    return F.coalesce(F.try_element_at(known, key), F.try_element_at(known, F.regexp_replace(key, r"\A(?:X|CS)", "")))
+    found = F.coalesce(F.try_element_at(known, key), F.try_element_at(known, F.regexp_replace(key, r"\A(?:X|CS)", "")))
+    common = [(charset == name, codecs_by_label()[_key(name)]) for name in _COMMON_LABELS]
+    return reduce(lambda out, one: F.when(one[0], one[1]).otherwise(out), reversed(common), found)
 
 
 def _decoder():
