@@ -140,7 +140,7 @@ def test_modes(raw):
     with pytest.raises(Exception, match="bad document header|document truncated"):
         parse_records(raw, mode="FAILFAST").select("status").collect()
     good = raw.where("uri = 'sample'")
-    assert parse_records(good, mode="FAILFAST").first()["status"] == 200
+    assert parse_records(good, mode="FAILFAST").first()["status"] == 203
     with pytest.raises(ValueError):
         valid_records(raw, "OTHER")
 
