@@ -295,6 +295,42 @@ def test_toxicity(spark):
     assert toxicity.without_toxic(docs, labels).where("text LIKE '%idiot%'").count() == 0
 
 
+def plain_features(text):
+    """Hashed features of a text, one character at a time, from the definitions of words and hashes."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            x = ((x ^ (x >> shift)) * factor) & full
+        return x
+
+    def short(data):
+        out = 0
+        for b in data:
+            out = (out * 0x100000001B3 + b + 1) & full
+        return out
+
+    found = set()
+    for word in (w.encode() for w in words(text)):
+        whole = sum((b + 1) * pow(0x9E3779B97F4A7C15, k, 1 << 64) for k, b in enumerate(word)) & full
+        found.add(mix(whole) + 1)
+        found.update(mix(short(word[:k]) + k) for k in toxicity.PREFIXES if len(word) > k)
+        found.update(mix(short(word[i : i + toxicity.GRAM]) + 99) for i in range(1, len(word) - toxicity.GRAM + 1))
+    return {f & ((1 << toxicity.FEATURE_BITS) - 1) for f in found}
+
+
+def test_scores_follow_from_the_weights(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    doubled = labels.select("doc_id", "toxic").unionByName(labels.selectExpr("doc_id", "cast(null as int) toxic")).unionByName(labels.limit(9).select("doc_id", "toxic"))
+    model = toxicity.train(docs, doubled)
+    assert np.array_equal(np.sort(model.features), np.sort(toxicity.train(docs, labels).features))  # null and repeated labels say nothing new
+    weights = dict(zip(model.features.tolist(), model.weights.tolist()))
+    scored = docs.unionByName(docs.limit(3)).select("text", toxicity.toxicity_score(model, F.col("text")).alias("s")).collect()
+    for r in scored:
+        odds = model.bias + sum(weights.get(f, 0.0) for f in plain_features((r.text or "").lower()))
+        assert abs(r.s - 1 / (1 + np.exp(-odds))) < 1e-9
+
+
 def test_swapped_terms_lower_the_score_gap(spark):
     rows = [(i, prose(12) + (" muslim idiot" if i % 3 == 0 else " christian" if i % 3 == 1 else ""), int(i % 3 == 0)) for i in range(300)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
@@ -418,6 +454,16 @@ def test_sharding(spark, docs, texts, empty, tmp_path):
     assert [sharding.load_map(spark, str(tmp_path / "map"), v).count() for v in (0, 1)] == [sharding.SLOTS] * 2
 
 
+@pytest.mark.parametrize("shards", [2, 5, 8])
+def test_shards_are_nearly_equal(spark, sf_dir, shards):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sizes = [len((r.text or "").encode()) + 1 for r in docs.collect()]
+    placed = sharding.shard_documents(docs, shards).groupBy("shard").agg(F.sum("size").alias("bytes")).collect()
+    loads = {r.shard: r.bytes for r in placed}
+    assert set(loads) == set(range(shards)) and sum(loads.values()) == sum(sizes)
+    assert max(loads.values()) - min(loads.values()) <= max(sizes)
+
+
 def test_rebalancing_moves_few_slots(spark):
     old = sharding.first_map(spark, 8)
     loads = spark.range(sharding.SLOTS).selectExpr("int(id) AS slot", "1000 + pmod(hash(id), 1000) AS bytes")
