@@ -593,8 +593,8 @@ def _recrawled(pages: DataFrame) -> DataFrame:
     return captures.select(F.concat(url, F.lit("#"), c("page_id").cast("string")).alias("uri"), url.alias("url"), "page_id", "crawl_time", "response")
 
 
-def _latest_captures(captures: DataFrame) -> DataFrame:
-    out = dedupe.dedupe_captures(captures)
+def _latest_captures(captures: DataFrame, late_bytes: int = dedupe.LATE_BYTES) -> DataFrame:
+    out = dedupe.dedupe_captures(captures, late_bytes=late_bytes)
     return out.select("canonical_url", "uri", "page_id", _time(), _digest("response").alias("response_md5"))
 
 
@@ -608,7 +608,7 @@ def dedupe_table(spark, sf_dir):
     """The same out of a capture table, where bodies are fetched last."""
     path = fresh_dir(spark, "table")
     table.sink_table(_recrawled(read_pages(spark, sf_dir)), path)
-    return _latest_captures(table.scan_table(spark, path))
+    return _latest_captures(table.scan_table(spark, path), late_bytes=0)
 
 
 # HTML and links --------------------------------------------------------------------

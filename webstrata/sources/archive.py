@@ -209,13 +209,14 @@ def publish_files(manifest: DataFrame, path: str) -> Written:
     """The second half: the files of a manifest get their final names, and the folder its mark of success."""
     spark = manifest.sparkSession
     folder = qualified(spark, path)
-    if manifest.isEmpty():  # an archive without records has one file
+    published = manifest.mapInArrow(_publisher(folder), "records bigint, bytes bigint")
+    n_files, *total = published.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in Written._fields]).first()
+    if not n_files:  # an archive without records has one file
         files, base = file_system(folder)
         SequenceFileWriter(files.open_output_stream(f"{base}/part-00000-00000", compression=None), "NONE").close()
-    manifest.mapInArrow(_publisher(folder), "file string").count()
     system, target = _hadoop_folder(spark, path)
     system.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")).close()
-    return Written(*manifest.agg(F.coalesce(F.sum("records"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first())
+    return Written(*total)
 
 
 def stored_compression(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
@@ -278,7 +279,7 @@ def _publisher(folder: str):
             for part, name in zip(batch.column("part").to_pylist(), batch.column("file").to_pylist()):
                 if system.get_file_info(f"{base}/{part}").type != fs.FileType.NotFound:
                     system.move(f"{base}/{part}", f"{base}/{name}")
-            yield batch.select(["file"])
+            yield batch.select(["records", "bytes"])
 
     return run
 
