@@ -13,7 +13,9 @@ from webstrata import (
     sink_table, stored_compression, stream_filter, stream_ingest, stream_rows, stream_written, write_open_files,
 )
 from webstrata.functions import bytesview as B
-from webstrata.plans.page_crawl import raw_crawl
+from webstrata.operators import assemble
+from webstrata.plans.page_crawl import crawl, raw_crawl
+from webstrata.plans.page_queries import QUERIES
 from webstrata.schema import MAGIC, RAW
 from webstrata.sources.archive import archive_patterns, finished_files_glob
 
@@ -259,6 +261,19 @@ def test_running_bytes(spark):
     assert bytes_written(df).first()["records"] == 4000
 
 
+def test_positions_of_repeated_urls_follow_the_crawl(spark, sf_dir, tmp_path):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("url", F.expr("'http://a.com/' || page_id % 3"))
+    sizes = assemble.encode_record(crawl(pages), keep=("page_id",)).selectExpr("uri", "page_id", "octet_length(doc) + 4 n").orderBy("uri", "page_id")
+    want, at = [], 0
+    for r in sizes.collect():
+        at += r.n
+        want.append(("http", r.uri, at, 50))
+    for n in (1, 7):  # however the pages lie in files
+        pages.orderBy(F.desc("page_id")).repartition(n).write.parquet(str(tmp_path / f"{n}" / "pages.parquet"))
+        got = QUERIES["bytes_written"](spark, str(tmp_path / f"{n}"))
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[2]) == want
+
+
 def test_report_file(spark, tmp_path):
     df = spark.createDataFrame([("UTF-8", 3), ("ISO-8859-1", 5), (None, 1)], "charset string, documents long")
     output_text(df, str(tmp_path / "out"), "charset")

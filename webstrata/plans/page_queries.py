@@ -687,8 +687,10 @@ def count_mime_types(spark, sf_dir):
 
 @_query
 def bytes_written(spark, sf_dir):
-    raw = raw_crawl(spark, sf_dir).withColumn("shard", F.when(F.startswith("uri", F.lit("https")), "https").otherwise("http"))
-    running = reports.running_bytes(raw, "shard", ("uri",))
+    """Records of a URI that was captured several times were appended in the order of the crawl."""
+    raw = cut(assemble.encode_record(crawl(read_pages(spark, sf_dir)), keep=("page_id",)), "raw")
+    raw = raw.withColumn("shard", F.when(F.startswith("uri", F.lit("https")), "https").otherwise("http"))
+    running = reports.running_bytes(raw, "shard", ("uri", "page_id"))
     total = reports.bytes_written(raw, "shard").withColumnRenamed("shard", "_of")
     return running.join(total.select("_of", "records"), c("shard") == c("_of")).select(
         "shard", "uri", "position", c("records").alias("shard_records")
