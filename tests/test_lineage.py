@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from webstrata import dedupe_captures, resolve_seed, via_join
+from webstrata.operators import lineage
 from webstrata.operators.lineage import lookup
 
 SCHEMA = "uri string, via string, is_seed boolean, crawl_time timestamp_ntz, status int"
@@ -89,6 +90,48 @@ def test_recrawls_keep_their_rows(spark):
     assert got == [("p", 0), ("p", 200), ("q", 404), ("q", 404), ("s", 0)]
 
 
+def walked(rows):
+    """(uri, time) -> status and time of the referring capture, and the seed; one capture per URI and time."""
+    def referrer(row):
+        captures = sorted((r for r in rows if r[0] == row[1]), key=lambda r: r[3])
+        before = [r for r in captures if r[3] < row[3]]
+        return (before or captures or [None])[-1]
+
+    out = {}
+    for row in rows:
+        first = at = referrer(row)
+        for _ in range(50):
+            at = at if at is None or at[2] else referrer(at)
+        out[row[0], row[3]] = (first and first[4], first and first[3], at[0] if at and at[2] else "")
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [lineage.BLOCK_ROWS, 40])
+def test_the_referring_capture_is_the_last_one_before(spark, shuffled, monkeypatch, block_rows):
+    monkeypatch.setattr(lineage, "BLOCK_ROWS", block_rows)
+    hour = dt.timedelta(hours=1)
+    # a hub is captured again and again, reached from one of three seeds, and has children all the time
+    rows = [(f"s{i}", None, True, T0 - hour, 200) for i in range(3)]
+    rows += [("hub", f"s{i % 3}", False, T0 + 7 * i * hour, 200 + i) for i in range(30)]
+    rows += [(f"c{i}", "hub", False, T0 + (i - 5) * hour, 200) for i in range(230)]
+    rows += [(f"d{i}", f"c{i}", False, T0 + (i - 5 + i % 2) * hour, 200) for i in range(230)]
+    # two URIs that are each other's referrers
+    rows += [(f"t{i % 2}", "s1" if i == 0 else f"t{1 - i % 2}", False, T0 + i * hour, 300 + i) for i in range(20)]
+    df, want = spark.createDataFrame(rows, SCHEMA), walked(rows)
+    out = via_join(df, ("status", "crawl_time")).collect()
+    assert len(out) == len(rows) and {(r.uri, r.crawl_time): (r.via_status, r.via_crawl_time) for r in out} == {k: v[:2] for k, v in want.items()}
+    out = resolve_seed(df).collect()
+    assert len(out) == len(rows) and {(r.uri, r.crawl_time): r.seed_url for r in out} == {k: v[2] for k, v in want.items()}
+
+
+def test_without_times_the_referrer_is_one_capture(spark):
+    df = spark.createDataFrame(chain(), SCHEMA).drop("crawl_time")
+    assert {r.uri: r.seed_url for r in resolve_seed(df).collect()} == brute_force(chain())
+    again = df.unionByName(df.selectExpr("uri", "via", "is_seed", "status + 1 status"))
+    assert {r.via_status for r in via_join(again, ("status",)).where("via like 'p%'").collect()} == {201}
+    assert via_join(again, ("status",)).count() == again.count()
+
+
 def test_lookup_is_a_left_join(spark, shuffled):
     facts = spark.range(5000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 900).cast("string")).alias("k")
