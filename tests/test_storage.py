@@ -184,6 +184,12 @@ def test_table(spark, sf_dir, tmp_path):
     assert back.count() == captures.count()
 
 
+def test_table_query_reads_every_day(spark, sf_dir):
+    rows = QUERIES["scan_table"](spark, sf_dir).collect()
+    assert {r.crawl_date for r in rows} == {f"2024-01-0{k}" for k in range(1, 8)}
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/pages.parquet").where("page_id % 20 > 1").count()
+
+
 def test_split_table_in_one_pass(spark, sf_dir, tmp_path):
     path = str(tmp_path / "t")
     captures = parse_records(raw_crawl(spark, sf_dir))

@@ -89,9 +89,8 @@ def _spread_over_days(captures: DataFrame) -> DataFrame:
 def scan_table(spark, sf_dir):
     path = fresh_dir(spark, "table")
     table.sink_table(parse.parse_records(assemble.encode_record(_spread_over_days(crawl(read_pages(spark, sf_dir))))), path)
-    days = c(table.DATE).between(F.lit("2024-01-04").cast("date"), F.lit("2024-01-05").cast("date"))
-    some = table.scan_table(spark, path).where(days).where("status = 200")
-    return some.select("uri", c(table.DATE).cast("string").alias("crawl_date"), "charset", F.octet_length("body").alias("body_bytes"))
+    found = table.scan_table(spark, path).where("status = 200")
+    return found.select("uri", c(table.DATE).cast("string").alias("crawl_date"), "charset", F.octet_length("body").alias("body_bytes"))
 
 
 @_query

@@ -205,7 +205,7 @@ ORACLES: dict[str, str] = {
     ),
     "scan_table": _from_crawl(
         f"SELECT url AS uri, day AS crawl_date, charset, CAST(strlen(body) AS INTEGER) AS body_bytes FROM {_OTHER_DAY}"
-        " WHERE status = 200 AND day BETWEEN '2024-01-04' AND '2024-01-05'"
+        " WHERE status = 200"
     ),
     "parse_where": _from_crawl(
         f"SELECT page_id, url AS uri, status, charset, day FROM {_OTHER_DAY}"
