@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from webstrata import (
     assign_files, bytes_written, frame_record, output_text, parse_records, running_bytes, scan_archive,
-    publish_files, scan_documents, scan_multi, scan_pages, scan_split, scan_table, sink_archive, sink_rolling, sink_split,
+    publish_files, scan_documents, scan_multi, scan_pages, scan_split, scan_table, sink_archive, sink_documents, sink_rolling, sink_split,
     sink_table, stored_compression, stream_filter, stream_ingest, stream_rows, stream_written, write_open_files,
 )
 from webstrata.functions import bytesview as B
@@ -17,6 +17,7 @@ from webstrata.operators import assemble
 from webstrata.plans.page_crawl import crawl, raw_crawl
 from webstrata.plans.page_queries import QUERIES
 from webstrata.schema import MAGIC, RAW
+from webstrata.sources import documents
 from webstrata.sources.archive import archive_patterns, finished_files_glob
 
 
@@ -171,6 +172,25 @@ def test_single_documents(spark, tmp_path):
     assert {len(r.body) for r in scan_pages(spark, str(tmp_path)).collect()} == {len(framed) - 1, len(framed), len(framed) + 4}
 
 
+def test_documents_of_many_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "FOLDER_FILES", 7)
+    raw = spark.range(0, 500, numPartitions=3).selectExpr("'u' || id uri", "unhex(repeat('ab', cast(id as int))) doc")
+    path = str(tmp_path / "d")
+    written = sink_documents(raw, path)
+    assert written == (500, sum(i + 4 for i in range(500)))
+    folders = [p for p in (tmp_path / "d").iterdir() if p.is_dir()]
+    assert not [p for p in folders if p.name.endswith(".open")] and {len(list(p.iterdir())) for p in folders} <= {7, 167 % 7, 166 % 7}
+    with pytest.raises(FileExistsError):
+        sink_documents(raw, path)
+    (tmp_path / "d" / "part-00009-00000.x.open").mkdir()
+    (tmp_path / "d" / "part-00009-00000.x.open" / "0").write_bytes(b"unfinished")
+    docs = scan_documents(spark, f"{path}/{documents.FOLDERS}")
+    assert sorted(bytes(r.doc) for r in docs.collect()) == [b"\xab" * i for i in range(500)]
+    assert docs.rdd.getNumPartitions() <= documents.TASKS_PER_CORE * spark.sparkContext.defaultParallelism  # not by the number of files
+    sink_documents(raw.where("id < 0"), str(tmp_path / "none"))
+    assert scan_documents(spark, str(tmp_path / "none" / documents.FOLDERS)).count() == 0
+
+
 def test_table(spark, sf_dir, tmp_path):
     path = str(tmp_path / "t")
     captures = parse_records(raw_crawl(spark, sf_dir))

@@ -13,7 +13,7 @@ from .plans.reports import bytes_written, count_charsets, count_links, count_mim
 from .schema import CAPTURE, LINK, RAW, FieldNames
 from .sources.archive import Written, publish_files, scan_archive, scan_multi, sink_archive, stored_compression, write_open_files
 from .sources.counted import stream_written
-from .sources.documents import scan_documents, scan_pages
+from .sources.documents import scan_documents, scan_pages, sink_documents
 from .sources.rolling import assign_files, sink_rolling
 from .sources.table import scan_split, scan_table, sink_split, sink_table
 from .streaming.ingest import stream_filter, stream_ingest, stream_rows

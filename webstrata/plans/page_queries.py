@@ -96,9 +96,8 @@ def scan_table(spark, sf_dir):
 @_query
 def scan_single_docs(spark, sf_dir):
     path = fresh_dir(spark, "documents")
-    framed = assemble.frame_record(raw_crawl(spark, sf_dir)).select(c("doc").cast("string").alias("value"))
-    framed.repartition(spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1).text(path)
-    docs = documents.scan_documents(spark, path)
+    documents.sink_documents(raw_crawl(spark, sf_dir), path)
+    docs = documents.scan_documents(spark, f"{path}/{documents.FOLDERS}")
     parsed = parse.parse_records(docs)
     return parsed.select("url", "status", "charset", F.octet_length("body").alias("body_bytes"), _digest("body").alias("body_md5"))
 

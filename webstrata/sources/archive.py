@@ -175,9 +175,7 @@ def sink_archive(raw: DataFrame, path: str, compression: str = "DEFAULT", max_by
     kind = _compression(compression, raw.sparkSession)
     if max_bytes == -1:
         return _sink_by_hadoop(_stored(raw), path, kind)
-    system, folder = _hadoop_folder(raw.sparkSession, path)
-    if system.exists(folder):
-        raise FileExistsError(f"{path} exists")
+    new_folder(raw.sparkSession, path)
     return publish_files(write_open_files(raw, path, kind, max_bytes), path)
 
 
@@ -202,21 +200,38 @@ def write_open_files(raw: DataFrame, path: str, compression: str = "DEFAULT", ma
     kind = _compression(compression, raw.sparkSession)
     system, folder = _hadoop_folder(raw.sparkSession, path)
     system.mkdirs(folder)
-    return materialize(_stored(raw).mapInArrow(_writer(qualified(raw.sparkSession, path), kind, max_bytes), _MANIFEST_ROW), "manifest")
+    return materialize(_stored(raw).mapInArrow(_writer(qualified(raw.sparkSession, path), kind, max_bytes), MANIFEST_ROW), "manifest")
 
 
 def publish_files(manifest: DataFrame, path: str) -> Written:
     """The second half: the files of a manifest get their final names, and the folder its mark of success."""
-    spark = manifest.sparkSession
-    folder = qualified(spark, path)
-    published = manifest.mapInArrow(_publisher(folder), "records bigint, bytes bigint")
-    n_files, *total = published.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in Written._fields]).first()
+    n_files, total = give_names(manifest, path)
     if not n_files:  # an archive without records has one file
-        files, base = file_system(folder)
+        files, base = file_system(qualified(manifest.sparkSession, path))
         SequenceFileWriter(files.open_output_stream(f"{base}/part-00000-00000", compression=None), "NONE").close()
+    mark_success(manifest.sparkSession, path)
+    return total
+
+
+def give_names(manifest: DataFrame, path: str) -> tuple[int, Written]:
+    """Final names for the files, or folders, of a manifest; their number and what they hold."""
+    published = manifest.mapInArrow(_publisher(qualified(manifest.sparkSession, path)), "records bigint, bytes bigint")
+    n_files, *total = published.agg(F.count("*"), *[F.coalesce(F.sum(c), F.lit(0)) for c in Written._fields]).first()
+    return n_files, Written(*total)
+
+
+def mark_success(spark: SparkSession, path: str) -> None:
     system, target = _hadoop_folder(spark, path)
     system.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, "_SUCCESS")).close()
-    return Written(*total)
+
+
+def new_folder(spark: SparkSession, path: str) -> str:
+    """Makes a folder that is not there yet; returns its qualified path."""
+    system, folder = _hadoop_folder(spark, path)
+    if system.exists(folder):
+        raise FileExistsError(f"{path} exists")
+    system.mkdirs(folder)
+    return qualified(spark, path)
 
 
 def stored_compression(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
@@ -236,7 +251,13 @@ def stored_compression(spark: SparkSession, paths: str | Iterable[str]) -> DataF
     return listed.mapInArrow(run, "file string, compression string")
 
 
-_MANIFEST_ROW = "part string, file string, records bigint, bytes bigint"
+MANIFEST_ROW = "part string, file string, records bigint, bytes bigint"
+
+
+def manifest_batch(files: list[list]) -> pa.RecordBatch:
+    """What a task has written, as rows of a manifest."""
+    columns, kinds = list(zip(*files)) or [()] * 4, (pa.string(), pa.string(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["part", "file", "records", "bytes"])
 
 
 def _writer(folder: str, kind: str, max_bytes: int):
@@ -262,10 +283,7 @@ def _writer(folder: str, kind: str, max_bytes: int):
                     out = None
         if out:
             out.close()
-        columns = list(zip(*files)) or [()] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["part", "file", "records", "bytes"]
-        )
+        yield manifest_batch(files)
 
     return run
 

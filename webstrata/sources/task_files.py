@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
+#: Rows of a batch that are Python objects at a time.
+SLICE_ROWS = 256
+
 
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with scheme and host, by Hadoop's default file system: what Spark itself takes it for."""
@@ -18,3 +25,19 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri)
+
+
+def rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """The rows of Arrow batches as Python values, of which few exist at a time; at the end free memory goes back to the system,
+    because workers outlive their tasks."""
+    try:
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield from zip(*(batch.column(c).slice(start, SLICE_ROWS).to_pylist() for c in columns))
+            del batch  # else it lives on while the next one is read
+    finally:
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
