@@ -3,7 +3,10 @@
 import os
 import re
 import shutil
+import tracemalloc
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +20,7 @@ from webstrata.operators import assemble
 from webstrata.plans.page_crawl import crawl, raw_crawl
 from webstrata.plans.page_queries import QUERIES
 from webstrata.schema import MAGIC, RAW
-from webstrata.sources import documents
+from webstrata.sources import archive, documents, task_files
 from webstrata.sources.archive import archive_patterns, finished_files_glob
 
 
@@ -191,6 +194,38 @@ def test_documents_of_many_folders(spark, tmp_path, monkeypatch):
     assert scan_documents(spark, str(tmp_path / "none" / documents.FOLDERS)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["NONE", "RECORD", "BLOCK"])
+def test_archive_writer_holds_few_rows(tmp_path, monkeypatch, kind):
+    monkeypatch.setattr(archive, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batches = [
+        pa.record_batch({"key": [b"k"] * 4000, "value": [os.urandom(10) * 1000] * 4000, "size": [10_000] * 4000}) for _ in range(2)
+    ]
+    tracemalloc.start()
+    try:
+        (manifest,) = archive._writer(f"file:{tmp_path}", kind, 5_000_000)(iter(batches))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(manifest.column("records").to_pylist()) == 8000 and manifest.num_rows == 16
+    assert peak < 15_000_000  # a batch has 40 MB
+
+
+def test_writers_get_small_batches(spark, tmp_path, monkeypatch):
+    sizes, key = str(tmp_path / "sizes"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def noted(folder, kind, max_bytes):
+        def run(batches):
+            yield archive.manifest_batch([["p", str(b.num_rows), 1, 0] for b in batches])
+
+        return run
+
+    monkeypatch.setattr(archive, "_writer", noted)
+    raw = spark.range(0, 3000, numPartitions=1).selectExpr("'u' || id uri", "cast('x' as binary) doc")
+    found = [int(r.file) for r in write_open_files(raw, sizes).collect()]
+    assert sum(found) == 3000 and max(found) <= task_files.SLICE_ROWS and spark.conf.get(key) == before
+
+
 def test_table(spark, sf_dir, tmp_path):
     path = str(tmp_path / "t")
     captures = parse_records(raw_crawl(spark, sf_dir))

@@ -25,7 +25,7 @@ from ..functions import bytesview as B
 from ..schema import ROLL_BYTES
 from .scratch import materialize
 from .sequence_file import HEADER_BYTES, SequenceFileWriter, compression_of
-from .task_files import file_system, qualified
+from .task_files import file_system, qualified, rows, small_batches
 
 _INPUT = "org.apache.hadoop.mapreduce.lib.input.SequenceFileAsBinaryInputFormat"
 _OUTPUT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileAsBinaryOutputFormat"
@@ -200,7 +200,8 @@ def write_open_files(raw: DataFrame, path: str, compression: str = "DEFAULT", ma
     kind = _compression(compression, raw.sparkSession)
     system, folder = _hadoop_folder(raw.sparkSession, path)
     system.mkdirs(folder)
-    return materialize(_stored(raw).mapInArrow(_writer(qualified(raw.sparkSession, path), kind, max_bytes), MANIFEST_ROW), "manifest")
+    with small_batches(raw.sparkSession):
+        return materialize(_stored(raw).mapInArrow(_writer(qualified(raw.sparkSession, path), kind, max_bytes), MANIFEST_ROW), "manifest")
 
 
 def publish_files(manifest: DataFrame, path: str) -> Written:
@@ -272,15 +273,14 @@ def _writer(folder: str, kind: str, max_bytes: int):
             files.append([f"{name}.{uuid.uuid4().hex}.open", name, 0, 0])
             return SequenceFileWriter(system.open_output_stream(f"{base}/{files[-1][0]}", compression=None), kind)
 
-        for batch in batches:
-            for key, value, size in zip(*(batch.column(c).to_pylist() for c in ("key", "value", "size"))):
-                out = out or opened()
-                out.append(key, value)
-                files[-1][2] += 1
-                files[-1][3] += size
-                if files[-1][3] > max_bytes:
-                    out.close()
-                    out = None
+        for key, value, size in rows(batches, "key", "value", "size"):
+            out = out or opened()
+            out.append(key, value)
+            files[-1][2] += 1
+            files[-1][3] += size
+            if files[-1][3] > max_bytes:
+                out.close()
+                out = None
         if out:
             out.close()
         yield manifest_batch(files)

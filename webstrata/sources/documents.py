@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import bytesview as B
 from .archive import MANIFEST_ROW, Written, finished_files_glob, give_names, manifest_batch, mark_success, new_folder
 from .scratch import materialize
-from .task_files import file_system, rows
+from .task_files import file_system, rows, small_batches
 
 #: Files of one folder of ``sink_documents``.
 FOLDER_FILES = 1000
@@ -31,7 +31,8 @@ def sink_documents(raw: DataFrame, path: str) -> Written:
     file system that ``pyarrow.fs`` knows and that renames folders. ``scan_documents`` reads ``<path>/part-*[0-9]``."""
     folder = new_folder(raw.sparkSession, path)
     framed = raw.select(B.frame(F.col("doc")).alias("doc"))
-    manifest = materialize(framed.mapInArrow(_document_writer(folder), MANIFEST_ROW), "manifest")
+    with small_batches(raw.sparkSession):
+        manifest = materialize(framed.mapInArrow(_document_writer(folder), MANIFEST_ROW), "manifest")
     n_folders, total = give_names(manifest, path)
     if not n_folders:  # for those who read it
         files, base = file_system(folder)

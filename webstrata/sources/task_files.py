@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
-#: Rows of a batch that are Python objects at a time.
+#: Rows that a writing worker holds as Python objects, and of its batches.
 SLICE_ROWS = 256
 
 
@@ -27,6 +28,19 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside send their rows to Python in batches of at most ``SLICE_ROWS``, so that what a worker holds does not
+    grow with the rows of a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), SLICE_ROWS) if int(before) > 0 else SLICE_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
     """The rows of Arrow batches as Python values, of which few exist at a time; at the end free memory goes back to the system,
     because workers outlive their tasks."""
