@@ -61,6 +61,24 @@ def test_archives_roll_in_their_tasks(spark, raw, tmp_path, kind, limit):
     assert names == ["_SUCCESS", *want]
 
 
+@pytest.mark.parametrize("kind", ["NONE", "BLOCK"])
+@pytest.mark.parametrize("reached", [True, False])
+def test_archives_of_one_file_per_task(spark, raw, tmp_path, monkeypatch, kind, reached):
+    if not reached:  # Hadoop writes
+        monkeypatch.setattr(archive, "is_reached", lambda uri: False)
+    path, tasks = str(tmp_path / "a"), [len(rows) for rows in raw.rdd.glom().collect()]
+    assert sink_archive(raw, path, kind, -1) == (raw.count(), raw.agg(F.sum(F.octet_length("doc") + 4)).first()[0])
+    assert as_set(scan_archive(spark, path)) == as_set(raw)
+    assert {r.compression for r in stored_compression(spark, path).collect()} == {kind}
+    names = sorted(p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith("."))
+    want = [f"part-{k:05d}-00000" for k, n in enumerate(tasks) if n] if reached else [f"part-r-{k:05d}" for k in range(len(tasks))]
+    assert names == ["_SUCCESS", *want]
+
+
+def test_file_systems_that_python_reaches(tmp_path):
+    assert task_files.is_reached(f"file:{tmp_path}/none") and not task_files.is_reached("nosuch://host/a")
+
+
 def test_archive_options(spark, raw, tmp_path):
     with pytest.raises(ValueError, match="RECORD"):
         sink_archive(raw, str(tmp_path / "r"), "RECORD", max_bytes=-1)
@@ -210,6 +228,25 @@ def test_archive_writer_holds_few_rows(tmp_path, monkeypatch, kind):
     assert peak < 15_000_000  # a batch has 40 MB
 
 
+def test_archive_writer_without_limit(tmp_path, monkeypatch):
+    monkeypatch.setattr(archive, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    batches = [pa.record_batch({"key": [b"k"] * 300, "value": [b"v" * 9] * 300, "size": [9] * 300}) for _ in range(2)]
+    (manifest,) = archive._writer(f"file:{tmp_path}", "NONE", -1)(iter(batches))
+    assert [(r["file"], r["records"], r["bytes"]) for r in manifest.to_pylist()] == [("part-00003-00000", 600, 5400)]
+
+
+def test_one_file_per_task_gets_small_batches(spark, tmp_path, monkeypatch):
+    def noted(folder, kind, max_bytes):
+        def run(batches):
+            yield archive.manifest_batch([["p", "f", b.num_rows, int(b.num_rows > task_files.SLICE_ROWS)] for b in batches])
+
+        return run
+
+    monkeypatch.setattr(archive, "_writer", noted)
+    raw = spark.range(0, 3000, numPartitions=1).selectExpr("'u' || id uri", "cast('x' as binary) doc")
+    assert sink_archive(raw, str(tmp_path / "a"), max_bytes=-1) == (3000, 0)
+
+
 def test_writers_get_small_batches(spark, tmp_path, monkeypatch):
     sizes, key = str(tmp_path / "sizes"), "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)

@@ -25,7 +25,7 @@ from ..functions import bytesview as B
 from ..schema import ROLL_BYTES
 from .scratch import materialize
 from .sequence_file import HEADER_BYTES, SequenceFileWriter, compression_of
-from .task_files import file_system, qualified, rows, small_batches
+from .task_files import file_system, is_reached, qualified, rows, small_batches
 
 _INPUT = "org.apache.hadoop.mapreduce.lib.input.SequenceFileAsBinaryInputFormat"
 _OUTPUT = "org.apache.hadoop.mapreduce.lib.output.SequenceFileAsBinaryOutputFormat"
@@ -170,11 +170,15 @@ def sink_archive(raw: DataFrame, path: str, compression: str = "DEFAULT", max_by
     one record larger. Files have names that end in ``.open`` until the whole write has succeeded; what a lost task leaves
     keeps that name and is never read. The path has to be on a file system that ``pyarrow.fs`` knows.
 
-    With -1 there is no limit: one file per task, by Hadoop's output format, on any file system; it refuses RECORD."""
+    With -1 there is no limit: one file per task, on any file system, and RECORD is refused. Where ``pyarrow.fs`` does not
+    reach the file system, Hadoop's output format writes, through pickled batches whose bytes nothing bounds."""
     check_roll_size(max_bytes)
     kind = _compression(compression, raw.sparkSession)
     if max_bytes == -1:
-        return _sink_by_hadoop(_stored(raw), path, kind)
+        if kind == "RECORD":
+            raise ValueError("RECORD compression is refused by Hadoop's binary output format: give a roll size, or BLOCK or NONE")
+        if not is_reached(qualified(raw.sparkSession, path)):
+            return _sink_by_hadoop(_stored(raw), path, kind)
     new_folder(raw.sparkSession, path)
     return publish_files(write_open_files(raw, path, kind, max_bytes), path)
 
@@ -278,7 +282,7 @@ def _writer(folder: str, kind: str, max_bytes: int):
             out.append(key, value)
             files[-1][2] += 1
             files[-1][3] += size
-            if files[-1][3] > max_bytes:
+            if 0 < max_bytes < files[-1][3]:
                 out.close()
                 out = None
         if out:
@@ -304,8 +308,6 @@ def _publisher(folder: str):
 
 def _sink_by_hadoop(pairs: DataFrame, path: str, kind: str) -> Written:
     """One file per task. Accumulators of the only stage count each task once, however often it runs."""
-    if kind == "RECORD":
-        raise ValueError("RECORD compression is refused by Hadoop's binary output format: give a roll size, or BLOCK or NONE")
     conf = {"mapreduce.output.fileoutputformat.compress": str(kind != "NONE").lower()}
     if kind != "NONE":
         conf["mapreduce.output.fileoutputformat.compress.type"] = kind

@@ -28,6 +28,16 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def is_reached(uri: str) -> bool:
+    """Whether ``pyarrow.fs`` knows the file system of a qualified path and gets an answer from it."""
+    try:
+        system, path = file_system(uri)
+        system.get_file_info(path)
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Jobs that run inside send their rows to Python in batches of at most ``SLICE_ROWS``, so that what a worker holds does not
