@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from webstrata.llm import tiles, topk
+from webstrata.llm import hard_negatives, tiles, topk
 
 
 def plan(frame) -> str:
@@ -24,7 +24,7 @@ def test_topk_copies_no_block_for_each_tile(spark, monkeypatch, scale):
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(5)
     monkeypatch.setattr(topk, "QUERY_ROWS", 7)
     monkeypatch.setattr(topk, "SHARD_ROWS", 11)
-    monkeypatch.setattr(tiles, "LEAST_TILES", 200)
+    monkeypatch.setattr(tiles, "LEAST_TILES", 40)
     monkeypatch.setattr(topk, "FAN_IN", 3)
     found = topk.top_k(frame, frame.where("vec_id % 9 = 0"), 5, scale)
     assert "Join" not in plan(found) and "Broadcast" not in plan(found)
@@ -70,3 +70,37 @@ def test_stored_blocks_are_read_once_by_the_spans(spark):
         for dim in (2, 3, 4):
             read = sorted(int(x) for span in range(spans) for (x,) in stored.read(span, spans, dim, "ids"))
             assert read == [i for i in range(23) if dim == (3 if i % 5 == 0 else 2)]
+
+
+@pytest.mark.parametrize("low,high,dim,fields", [(0, 0, 1, 53), (-3, 4, 9, 5), (-159, 154, 64, 2), (5, 9, 64, 4), (-(1 << 20), 1 << 20, 9, 1)])
+def test_fields_in_doubles_are_exact(low, high, dim, fields):
+    rng = np.random.default_rng(8)
+    for rows in (1, 2, 3, 40, 41, 107):
+        matrix = rng.integers(low, high, (rows, dim), endpoint=True)
+        matrix[0], matrix[-1] = high, low
+        laid = hard_negatives.Fields(low, high)
+        assert hard_negatives.DOUBLE // laid.bits(dim) == fields
+        packed, sums = laid.doubles(laid.pack(matrix), dim)
+        assert packed.shape == (dim, -(-rows // fields))
+        assert (laid.many_scores(matrix[:5], packed, sums) == matrix[:5] @ matrix.T).all()
+    assert hard_negatives.Fields(-(1 << 40), 1 << 40).bits(9) == 0
+
+
+@pytest.mark.parametrize("scale", [1, 256, 1 << 14, 1 << 26])  # many fields a double, two, one, and wide integers
+def test_hard_negatives_copy_no_block_for_each_tile(spark, monkeypatch, scale):
+    dice = random.Random(9)
+    vectors = [(i, [float(np.float32(dice.uniform(-1, 2))) for _ in range(dim)], dice.randrange(4)) for dim in (6, 6, 6, 3) for i in dice.sample(range(2000), 120)]
+    vectors = list({i: (i, v, label) for i, v, label in vectors}.values()) + [(3000 + i, [0.5] * 6, i % 2) for i in range(60)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").repartition(5)
+    for module, name, value in ((hard_negatives, "SHARD_ROWS", 11), (hard_negatives, "ANCHOR_ROWS", 7), (hard_negatives, "FAN_IN", 3), (tiles, "LEAST_TILES", 40)):
+        monkeypatch.setattr(module, name, value)
+    found = hard_negatives.hard_negatives(frame, F.col("vec_id") % 10 == 0, 3, 4, (20, 95), scale)
+    assert "Broadcast" not in plan(found)
+    got = collections.Counter(tuple(r) for r in found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+    whole, want = [(i, [int(np.floor(scale * x)) for x in v], label) for i, v, label in vectors], collections.Counter()
+    for a, v, label in (x for x in whole if x[0] % 10 == 0):
+        others = [(-sum(x * y for x, y in zip(v, w)), i, m) for i, w, m in whole if i != a and len(w) == len(v)]
+        for p, positive, _ in sorted(x for x in others if x[2] == label)[:3]:
+            fit = sorted((s, i) for s, i, m in others if m != label and -20 * p <= -100 * s <= -95 * p)[:4]
+            want.update((a, positive, rank, i, -p, -s) for rank, (s, i) in enumerate(fit, 1))
+    assert got == want and len(want) > 200

@@ -3,7 +3,8 @@
 The components that a shard's vectors have in one dimension are biased to be non-negative and laid side by side as
 fields of one wide integer. Each component of an anchor is multiplied with the wide integer of its dimension, once for
 all vectors of the shard; the fields of the sum are the products of the biased vectors, from which the bias is taken
-off again. Fields are wide enough for the largest sum there can be, so none runs over into the next."""
+off again. Fields are wide enough for the largest sum there can be, so none runs over into the next. Fields that go into
+the 53 bits of a double are laid into doubles, as many as go into one, and multiplied for many anchors at a time."""
 
 from __future__ import annotations
 
@@ -18,11 +19,16 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
 from .memory import tidy
+from .tiles import Best, Stored, dealt
 
-#: Most rows of a shard and of a block of anchors, and bytes of a shard's fields; a tile is one block times one shard.
+#: Most rows of a shard, bytes of its fields, and anchors of a block on average; a tile is one block times a span of shards.
 SHARD_ROWS = 4096
 SHARD_BYTES = 4 << 20
 ANCHOR_ROWS = 512
+#: Bits of whole numbers that a double holds exactly.
+DOUBLE = 53
+#: Anchors of a tile that are scored at a time.
+STRIP = 64
 #: Lists merged into one in each round.
 FAN_IN = 16
 
@@ -69,6 +75,37 @@ class Fields:
         size = len(fields) // dim
         return [int.from_bytes(fields[j * size : (j + 1) * size], "little") for j in range(dim)]
 
+    def bits(self, dim: int) -> int:
+        """Bits of a field of a double; 0 where a field or a score may not go into one."""
+        bits = max(1, (dim * max(1, self.span) ** 2).bit_length())
+        return bits if bits <= DOUBLE and dim * (self.span + abs(self.low)) ** 2 < 1 << DOUBLE else 0
+
+    def doubles(self, fields: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        """The fields of a shard as doubles, a line for each dimension, and the sums of its vectors' biased components."""
+        biased = np.frombuffer(fields, f"<u{self.width(dim)}").reshape(dim, -1).astype(np.float64)
+        bits, rows = self.bits(dim), biased.shape[1]
+        size = -(-rows // (DOUBLE // bits))
+        packed = np.zeros((dim, size))
+        for i, begin in enumerate(range(0, rows, size)):
+            part = biased[:, begin : begin + size]
+            packed[:, : part.shape[1]] += part * 2.0 ** (bits * i)
+        return packed, biased.sum(axis=0)
+
+    def many_scores(self, anchors: np.ndarray, packed: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """Inner products of anchors, a line each, with all vectors of a shard that is laid into doubles."""
+        dim, bits, rows, size = anchors.shape[1], self.bits(anchors.shape[1]), len(sums), packed.shape[1]
+        biased = (anchors - self.low).astype(np.float64)
+        left = biased @ packed
+        exact = np.empty((len(anchors), rows))
+        for i, begin in reversed(list(enumerate(range(0, rows, size)))):
+            one = np.floor(left * 2.0 ** (-bits * i)) if i else left
+            exact[:, begin : begin + size] = one[:, : rows - begin]
+            if i:
+                left -= one * 2.0 ** (bits * i)
+        exact += self.low * sums
+        exact += self.low * biased.sum(axis=1)[:, None] + float(dim * self.low * self.low)
+        return exact
+
     def unpack(self, number: int, rows: int, dim: int) -> np.ndarray:
         """The fields of a wide integer; exact Python numbers where 64 bits may not hold what is made of them."""
         width = self.width(dim)
@@ -114,74 +151,90 @@ def _shards(rows: DataFrame, fields: Fields) -> DataFrame:
     return rows.mapInArrow(run, _SHARD_ROW)
 
 
-def _first(scores: np.ndarray, k: int) -> np.ndarray:
-    """Where the ``k`` highest scores are; of equal ones the first."""
-    if len(scores) <= k:
-        return np.arange(len(scores))
-    least = np.partition(scores, len(scores) - k)[len(scores) - k]
-    above = np.flatnonzero(scores > least)
-    return np.concatenate([above, np.flatnonzero(scores == least)[: k - len(above)]])
+def _scored(anchors: list[dict], data: bytes, fields: Fields, rows: int, dim: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places of anchors, their scores with the vectors of a shard)"""
+    if not dim:  # vectors without components score 0 with each other
+        yield np.arange(len(anchors)), np.zeros((len(anchors), rows), np.int64)
+    elif fields.bits(dim):
+        packed, sums = fields.doubles(data, dim)
+        for top in range(0, len(anchors), STRIP):
+            some = anchors[top : top + STRIP]
+            yield np.arange(top, top + len(some)), fields.many_scores(np.array([x["parts"] for x in some], np.int64), packed, sums)
+    else:
+        wide = fields.wide(data, dim)
+        sums = fields.unpack(sum(wide), rows, dim)
+        for place, anchor in enumerate(anchors):
+            yield np.array([place]), fields.scores(anchor["parts"], wide, sums)[None, :]
+
 
+def _window(positives: list[dict | None], window: tuple[int, int]) -> np.ndarray:
+    """Least and largest score of a negative for each positive; nothing lies between those of none."""
+    long = np.iinfo(np.int64)
+    ends = [(long.max, long.min) if x is None else (-(window[0] * x["minus"] // 100), window[1] * -x["minus"] // 100) for x in positives]
+    return np.array([[max(long.min, min(long.max, e)) for e in pair] for pair in ends], np.int64).reshape(-1, 2)
 
-def _tile(row: dict, fields: Fields, k: int, window: tuple[int, int]) -> Iterator[tuple]:
-    """(anchor, place, positive, its score, part, scores, ids): the lists of one tile.
+
+def _tile(row: dict, shards: Stored, spans: int, fields: Fields, k: int, window: tuple[int, int]) -> tuple[Best, list[tuple]]:
+    """The best of one tile, and (anchor, place, positive, its score) of each of their rows.
 
     Anchors without ``positives`` look for those, others for negatives of each."""
-    ids, labels = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["labels"], "<i8")
-    dim = row["dim"]
-    wide = fields.wide(row["fields"], dim) if dim else []
-    sums = fields.unpack(sum(wide), len(ids), dim) if dim else np.zeros(len(ids), np.int64)
-    for anchor in row["anchors"]:
-        scores = fields.scores(anchor["parts"], wide, sums) if dim else sums
-        same = labels == anchor["label"]
-        if anchor["positives"] is None:
-            there = np.flatnonzero(same & (ids != anchor["id"]))
-            best = there[_first(scores[there], k)]
-            if len(best):
-                yield anchor["id"], 0, None, None, row["part"], scores[best], ids[best]
-            continue
-        for place, positive in enumerate(anchor["positives"]):
-            score = -positive["minus"]
-            low, high = -(-window[0] * score // 100), window[1] * score // 100
-            there = np.flatnonzero(~same & (scores >= low) & (scores <= high))
-            best = there[_first(scores[there], k)]
-            if len(best):
-                yield anchor["id"], place, positive["id"], score, row["part"], scores[best], ids[best]
-
-
-def _searched(shards: DataFrame, anchors: DataFrame, fields: Fields, k: int, window: tuple[int, int]) -> DataFrame:
+    anchors = row["anchors"]
+    lists = [x["positives"] for x in anchors]
+    places = max(1 if x is None else len(x) for x in lists)
+    asked = [[None] * places if x is None else x + [None] * (places - len(x)) for x in lists]
+    ends = [_window([x[place] for x in asked], window) for place in range(places)]
+    own, own_labels = np.array([x["id"] for x in anchors], np.int64), np.array([x["label"] for x in anchors], np.int64)
+    best = Best(len(anchors) * places, k)
+    for ids, labels, data in shards.read(row["part"], spans, row["dim"], "ids", "labels", "fields"):
+        ids, labels = np.frombuffer(ids, "<i8"), np.frombuffer(labels, "<i8")
+        left, until = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+        for at, scores in _scored(anchors, data, fields, len(ids), row["dim"]):
+            kind = scores.dtype.type
+            same = labels == own_labels[at][:, None]
+            if lists[0] is None:
+                fits = same & (scores >= best.least(at, kind))
+                for line, a in enumerate(at):
+                    fits[line, left[a] : until[a]] = False
+                best.add(at, scores, fits, ids)
+                continue
+            for place in range(places):
+                rows = at * places + place
+                low, high = ends[place][at].T[:, :, None].astype(kind)
+                fits = (scores >= np.maximum(low, best.least(rows, kind))) & (scores <= high) & ~same
+                best.add(rows, scores, fits, ids)
+    heads = [(x["id"], place, *((None, None) if p is None else (p["id"], -p["minus"]))) for x, ps in zip(anchors, asked) for place, p in enumerate(ps)]
+    return best, heads
+
+
+def _searched(shards: Stored, anchors: DataFrame, fields: Fields, k: int, window: tuple[int, int]) -> DataFrame:
     """The ``k`` best for each anchor, or for each of its positives, out of all tiles."""
-    parts, groups = max(1, shards.count()), max(1, -(-anchors.count() // ANCHOR_ROWS))
+    groups = max(1, -(-anchors.count() // ANCHOR_ROWS))
+    parts = spans = shards.spans(groups)
     block = anchors.groupBy(F.pmod(F.xxhash64("id"), F.lit(groups)).alias("group"), F.size("parts").alias("dim")).agg(
         F.collect_list(F.struct("id", "label", "parts", "positives")).alias("anchors")
     )
-    left = block.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    right = shards.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(parts))).withColumn(
-        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
-    )
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                found = list(_tile(batch.slice(i, 1).to_pylist()[0], fields, k, window))
-                if found:
-                    *heads, scores, ids = zip(*found)
-                    lists = pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum([len(s) for s in scores])]), pa.int32()),
-                        pa.StructArray.from_arrays([pa.array(-np.concatenate(scores)), pa.array(np.concatenate(ids))], fields=list(_BEST.value_type)),
-                    )
-                    columns = [pa.array(h, t) for h, t in zip(heads, _FOUND.types)]
-                    yield pa.RecordBatch.from_arrays([*columns, lists], schema=_FOUND)
-
-    lists = left.join(right, ["part", "group", "dim"]).mapInArrow(run, _FOUND_ROW)
+                row = batch.slice(i, 1).to_pylist()[0]
+                best, heads = _tile(row, shards, spans, fields, k, window)
+                found, begin, scores, ids = best.found()
+                lists = pa.ListArray.from_arrays(
+                    pa.array(begin, pa.int32()), pa.StructArray.from_arrays([pa.array(-scores), pa.array(ids)], fields=list(_BEST.value_type))
+                )
+                heads = [(*heads[x], row["part"]) for x in found]
+                columns = [pa.array([h[c] for h in heads], t) for c, t in enumerate(_FOUND.types[:-1])]
+                yield pa.RecordBatch.from_arrays([*columns, lists], schema=_FOUND)
+
+    lists = dealt(block, groups, spans).mapInArrow(run, _FOUND_ROW)
     keys = ["anchor_id", "place", "positive_id", "positive_score"]
-    while True:
+    while parts > 1:
         parts = -(-parts // FAN_IN)
         merged = lists.groupBy(*keys, F.floor(F.col("part") / FAN_IN).alias("part"))
         lists = merged.agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
-        if parts <= 1:
-            return lists
+    return lists
 
 
 def hard_negatives(
@@ -208,19 +261,21 @@ def hard_negatives(
     come, but never of an anchor with their id; a repeated anchor asks once, with its smallest label and vector. Labels
     are whole numbers. Other columns are ignored; empty tables give no rows.
 
-    All rows are packed into shards of bounded bytes, anchors are dealt into blocks, and each tile (block, shard) is one
-    row of an equi-join on the tile's two numbers; rounds of merging ``FAN_IN`` lists follow. What is looked at is every
-    row for every anchor, twice: for the positives, and, once their scores are known, for the negatives."""
+    All rows are packed into shards of bounded bytes, anchors are dealt into blocks. A tile is a block and a span of shards,
+    which its task reads from the shared folder one at a time; rounds of merging ``FAN_IN`` lists follow where there are
+    several spans. What is looked at is every row for every anchor, twice: for the positives, and, once their scores are
+    known, for the negatives."""
     rows = usable(vectors, scale, vec_id, vector, label)
     ends = rows.agg(F.min(F.array_min("parts")), F.max(F.array_max("parts"))).first()
     fields = Fields(ends[0] or 0, ends[1] or 0)
-    shards = materialize(_shards(rows, fields), "shards")
+    shards = Stored(_shards(rows, fields), "shards")
     asked = usable(vectors.where(is_anchor), scale, vec_id, vector, label)
     asked = asked.groupBy("id").agg(F.min(F.struct("label", "parts")).alias("row")).select("id", "row.*")
     asked = materialize(asked, "anchors")
     none = F.lit(None).cast("array<struct<minus:bigint,id:bigint>>")
     best = materialize(_searched(shards, asked.withColumn("positives", none), fields, positives, window), "positives")
-    known = asked.join(best.select(F.col("anchor_id").alias("id"), F.col("best").alias("positives")), "id")
+    positive = best.select(F.col("anchor_id").alias("id"), F.col("best").alias("positives"))
+    known = asked.join(positive.hint("merge"), "id")  # rows are many times as large as their files: no side is broadcast
     found = _searched(shards, known, fields, negatives, window)
     out = found.select("anchor_id", "positive_id", "positive_score", F.posexplode("best").alias("at", "one"))
     return out.select(
